@@ -36,14 +36,9 @@ def distinct_files(files: DataFrame, stores: DataFrame) -> DataFrame:
 
 def named_places(records: DataFrame, column: str, store: str, stores: DataFrame) -> DataFrame:
     """The places that ``column`` of ``records`` names in ``store`` (rows may repeat)."""
-    root = F.broadcast(stores.where(F.col("store_name") == store).select("store_name", "root_dir"))
-    # a one-row side joined on a literal key
-    keyed = records.select(F.lit(store).alias("store_name"), F.col(column).alias("path"))
-    return (
-        keyed.join(root, "store_name")
-        .select("store_name", ids.canonical_path(F.col("path"), F.col("root_dir")).alias("place"))
-        .where(F.col("place").isNotNull())
-    )
+    roots = stores.where(F.col("store_name") == store).select("root_dir").limit(1).collect()  # one row of a fixed list
+    place = ids.canonical_path(F.col(column), F.lit(roots[0].root_dir if roots else "/"))
+    return records.select(F.lit(store).alias("store_name"), place.alias("place")).where(F.col("place").isNotNull())
 
 
 def small_files(files: DataFrame, stores: DataFrame, named: DataFrame) -> DataFrame:

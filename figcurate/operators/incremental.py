@@ -50,12 +50,12 @@ def handled_versions(ledger: DataFrame, runs: DataFrame, lease_hours: float = 24
 
     ``now`` defaults to the latest time in ``runs``; a running run holds its items for ``lease_hours`` from its start.
     """
-    clock = runs.agg(F.max(F.greatest("run_started_at", F.coalesce("run_ended_at", "run_started_at"))).alias("clock"))
-    known = runs.crossJoin(clock) if now is None else runs.withColumn("clock", now)  # a one-row side
+    if now is None:
+        now = runs.agg(F.max(F.greatest("run_started_at", F.coalesce("run_ended_at", "run_started_at")))).scalar()
     held = (F.col("run_status") == "running") & (
-        F.col("run_started_at") + F.expr(f"make_dt_interval(0, {int(lease_hours)})") >= F.col("clock")
+        F.col("run_started_at") + F.expr(f"make_dt_interval(0, {int(lease_hours)})") >= now
     )
-    state = known.select("run_id", (F.col("run_status") == "succeeded").alias("succeeded"), held.alias("held"))
+    state = runs.select("run_id", (F.col("run_status") == "succeeded").alias("succeeded"), held.alias("held"))
     return (
         ledger.select(
             "run_id",
