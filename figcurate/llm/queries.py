@@ -1,0 +1,39 @@
+"""Registered queries of the language-model data problems with their SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from figcurate.llm import readability, tokens
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_corpus(table(spark, sf_dir, "documents"))
+
+
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.demanding_english(_levels(spark, sf_dir))
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir).withColumn("grade", F.round("grade", 6))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p8_ids": p8_ids,
+    "p10_found": p10_found,
+    "p10_levels": p10_levels,
+}
+
+SQL: dict[str, str] = {}
