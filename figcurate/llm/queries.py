@@ -7,13 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from figcurate.llm import readability, tokens
+from figcurate.llm import characters, components, near_duplicates, readability, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components.connected_pairs(components.article_components(table(spark, sf_dir, "subfigure_records")))
+
+
+def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = components.record_groups(table(spark, sf_dir, "subfigure_records"))
+    return components.assign_splits(groups, table(spark, sf_dir, "split_targets"))
+
+
+def _duplicates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    single = table(spark, sf_dir, "singlepanel_records").select(F.col("caption_id").alias("id"), F.col("caption").alias("text"))
+    panels = table(spark, sf_dir, "subfigure_records").select(F.col("caption_id").alias("id"), F.col("main_caption").alias("text"))
+    return near_duplicates.near_duplicate_classes(single.unionByName(panels))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = near_duplicates.near_duplicate_pairs(*_duplicates(spark, sf_dir))
+    return pairs.select(F.col("id_a").alias("caption_id_a"), F.col("id_b").alias("caption_id_b"))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.duplicate_summary(*_duplicates(spark, sf_dir)).withColumnRenamed("id", "caption_id")
+
+
+def _written_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    single = table(spark, sf_dir, "singlepanel_records")
+    return characters.text_items(single, {"caption": False, "reference_texts": True}).unionByName(
+        characters.text_items(table(spark, sf_dir, "subfigure_records"), {"subcaption": False})
+    )
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return characters.disguised(_written_items(spark, sf_dir))
+
+
+def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return characters.normalised(_written_items(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -31,6 +70,12 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
+    "p3_splits": p3_splits,
+    "p5_found": p5_found,
+    "p5_groups": p5_groups,
+    "p6_found": p6_found,
+    "p6_normalised": p6_normalised,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
     "p10_levels": p10_levels,
