@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from figcurate.llm import characters, components, near_duplicates, readability, tokens
+from figcurate.llm import characters, components, markup, near_duplicates, packing, readability, tokens, truncation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,15 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.assign_splits(groups, table(spark, sf_dir, "split_targets"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.with_markup(table(spark, sf_dir, "singlepanel_records"))
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    single = table(spark, sf_dir, "singlepanel_records")
+    return markup.cleaned(characters.text_items(single, {"caption": False, "reference_texts": True}))
+
+
 def _duplicates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     single = table(spark, sf_dir, "singlepanel_records").select(F.col("caption_id").alias("id"), F.col("caption").alias("text"))
     panels = table(spark, sf_dir, "subfigure_records").select(F.col("caption_id").alias("id"), F.col("main_caption").alias("text"))
@@ -53,10 +62,43 @@ def p6_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return characters.normalised(_written_items(spark, sf_dir))
 
 
+def _generated_values(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    parents = table(spark, sf_dir, "align_parents")
+    panels = table(spark, sf_dir, "subfigure_records")
+    source = F.col("caption_source_run_dir").alias("source")
+    return (
+        parents.select("record_id", source, F.col("raw_prediction").alias("text")),
+        panels.select("record_id", source, F.col("subcaption").alias("text")),
+    )
+
+
+def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predictions, captions = _generated_values(spark, sf_dir)
+    return truncation.truncated(truncation.pieces(predictions, True).unionByName(truncation.pieces(captions, False)))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut(spark, sf_dir).select("record_id")
+
+
+def p7_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predictions, captions = _generated_values(spark, sf_dir)
+    return truncation.truncation_rates(predictions.unionByName(captions), _cut(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return packing.pack(packing.measured(documents), table(spark, sf_dir, "pack_specs"), documents.count())
+
+
+def p9_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.utilisation(p9_packing(spark, sf_dir), table(spark, sf_dir, "pack_specs"))
+
+
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
 
@@ -72,11 +114,17 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_splits": p3_splits,
+    "p4_found": p4_found,
+    "p4_clean": p4_clean,
     "p5_found": p5_found,
     "p5_groups": p5_groups,
     "p6_found": p6_found,
     "p6_normalised": p6_normalised,
+    "p7_found": p7_found,
+    "p7_rates": p7_rates,
     "p8_ids": p8_ids,
+    "p9_packing": p9_packing,
+    "p9_utilisation": p9_utilisation,
     "p10_found": p10_found,
     "p10_levels": p10_levels,
 }
