@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from figcurate.session import shared_checkpoint
+
 #: Letters of other scripts and the Latin letters they look like (fixed values).
 LOOK_ALIKES = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C",
@@ -109,7 +111,8 @@ def _suspects() -> str:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    return "[" + "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+    inside = "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    return rf"(?=[^\x00-\x7F])[{inside}]"  # the long class is tried only where a cheap one holds
 
 
 def may_change(col: Column) -> Column:
@@ -200,7 +203,7 @@ def _suspect_words(items: DataFrame) -> DataFrame:
 
 def changed_words(items: DataFrame) -> DataFrame:
     """(record_id, text_field, item, word, fixed) where the word is not in its consistent form."""
-    suspects = _suspect_words(items)
+    suspects = shared_checkpoint(_suspect_words(items))  # few; read twice
     changed = normalise_words(suspects.select("word").distinct()).where(F.col("word") != F.col("fixed"))
     return suspects.join(changed, "word")
 
