@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 PYWS = r"[\s\x1c-\x1f\x85\xa0  -     　]"
 
 
+#: The same characters, to be taken off at the ends of a value.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(col: Column) -> Column:
-    """Remove all Unicode white space at both ends."""
-    return F.regexp_replace(col, f"^{PYWS}+|{PYWS}+$", "")
+    """Remove all Unicode white space at both ends; looks at the ends only."""
+    return F.btrim(col, F.lit(WHITE))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -42,7 +46,7 @@ def canonical_image_id(col: Column) -> Column:
     return blank_to_null(F.regexp_replace(strip(col), r"(?i)\.(jpg|png)$", ""))
 
 
-def _percent_decoded(col: Column) -> Column:
+def percent_decoded(col: Column) -> Column:
     """Percent-decoding that leaves ``+`` alone and keeps a value whose escapes are malformed."""
     decoded = F.coalesce(F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B"))), col)
     return F.when(col.contains("%"), decoded).otherwise(col)
@@ -66,7 +70,7 @@ def canonical_path(path: Column, root: Column) -> Column:
 
     Handles ``file:`` prefixes, percent escapes, doubled slashes, ``.`` and ``..`` segments.
     """
-    bare = F.regexp_replace(_percent_decoded(path), "^file:/+", "/")
+    bare = F.regexp_replace(percent_decoded(path), "^file:/+", "/")
     absolute = F.when(bare.startswith("/"), bare).otherwise(F.concat(root, F.lit("/"), bare))
     plain = ~absolute.rlike(r"//|/\.\.?(/|$)|/$")
     resolved = F.when(plain, absolute).otherwise(_resolve_segments(absolute))
