@@ -6,9 +6,10 @@ kept as the list of its set bits, and folded to a dense sketch of 256 bits.  Fli
 Hamming distance of two sketches never exceeds the symmetric difference of the texts.
 
 *Pigeonhole.*  Texts of n words that are alike differ in at most n - ceil(similarity * n) set bits on either side.  So among
-the n - ceil(similarity * n) + 2 set bits that come first in a fixed order of all bits, they have at least two in common.  Each
-text therefore emits the pairs of these bits, rarest first in the corpus, and texts of a fitting size band meet on equal
-pairs.  Pairs, unlike single bits, stay rare when the vocabulary does not grow with the corpus.
+the n - ceil(similarity * n) + k set bits that come first in a fixed order of all bits, they have at least k in common.  The
+order is by rarity in the corpus.  Each text emits combinations of up to k of these bits, as short as they are rare enough, and
+texts of a fitting size band meet on equal combinations; so the number of meetings stays in proportion to the corpus although
+its vocabulary does not grow.  (Two bits of one text that fall together are at odds of 1 in 2**50 or so and ignored.)
 
 *Verify.*  Meeting texts are compared by the dense sketches first, then by their full lists of set bits.
 
@@ -33,6 +34,10 @@ from figcurate.session import shared_checkpoint
 
 SLOTS = 1 << 17
 DENSE = 256
+#: Expected texts with a single bit, or with a combination, up to which it is emitted without another bit.
+FEW_FIRST, FEW = 8.0, 2.0
+#: Signatures keep 48 bits, which makes the rows shorter; chance meetings end at the first comparison.
+SHORTEN = np.uint64(16)
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,45 +141,65 @@ def least_shared(n: np.ndarray, similarity: float) -> np.ndarray:
     return -(-(n * share.numerator) // share.denominator)
 
 
-def dense_and_signatures(classes: DataFrame, rarity: np.ndarray, similarity: float) -> DataFrame:
-    """(doc, n, signature) for every pair of a text's first bits; the pigeonholes in which texts meet."""
-    schema = "doc bigint, n int, signature bigint"
-    shared = classes.sparkSession.sparkContext.broadcast(rarity.astype(np.int32))  # of fixed size
+def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarity: float, depth: int) -> DataFrame:
+    """(no, n, signature): the pigeonholes in which texts meet, combinations of a text's first bits.
+
+    A combination of bits, in their fixed order, is emitted as soon as few texts are expected to have it, or when it has
+    ``depth`` bits; otherwise it is extended by each later bit.  What is emitted depends on the rarity table alone, so two
+    texts that share ``depth`` of their first bits share the combination that their first shared bits begin.  A bit that only
+    one text sets leads to no meeting and is skipped.
+    """
+    schema = "no bigint, n int, signature bigint"
+    shared = classes.sparkSession.sparkContext.broadcast(rarity.astype(np.float64))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order_of = shared.value
-        corners: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        count_of = shared.value
         for batch in batches:
             lists = batch.column(2)
             sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
             bits = np.asarray(lists.flatten()).view(np.uint64)
             doc_no = np.repeat(np.arange(len(sizes)), sizes)
-            rank = order_of[(bits & np.uint64(SLOTS - 1)).astype(np.int64)]
-            bits = bits[np.lexsort((bits, rank, doc_no))]
+            count = count_of[(bits & np.uint64(SLOTS - 1)).astype(np.int64)]
+            order = np.lexsort((bits, count, doc_no))
+            bits, count = bits[order], count[order]
             starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            prefix = np.minimum(sizes - least_shared(sizes, similarity) + 2, sizes)
-            out_doc, out_sig = [], []
+            prefix = np.minimum(sizes - least_shared(sizes, similarity) + depth, sizes)
+            out_doc: list[np.ndarray] = []
+            out_sig: list[np.ndarray] = []
+
+            def extend(docs: np.ndarray, at: int, level: int, code: np.ndarray, expected: np.ndarray) -> None:
+                p = first.shape[1]
+                for c in range(at, p):
+                    now = expected * counts[docs, c] / n_classes
+                    live = counts[docs, c] > 1
+                    sig = _mix(code * _ODD + first[docs, c])
+                    enough = live & ((now <= (FEW_FIRST if level == 1 else FEW)) | (level == depth))
+                    if enough.any():
+                        out_doc.append(names[docs[enough]])
+                        out_sig.append(sig[enough])
+                    more = live & ~enough
+                    if c + 1 < p and more.any():
+                        extend(docs[more], c + 1, level + 1, sig[more], now[more])
+
             with np.errstate(over="ignore"):
                 for p in np.unique(prefix):
-                    if int(p) not in corners:
-                        corners[int(p)] = np.triu_indices(int(p), 1)
-                    i, j = corners[int(p)]
-                    docs = np.flatnonzero(prefix == p)
-                    first = bits[starts[docs][:, None] + np.arange(p)]
-                    sig = _mix(first[:, i] * _ODD + first[:, j])
-                    out_sig.append(sig.reshape(-1))
-                    out_doc.append(np.repeat(docs, len(i)))
+                    names = np.flatnonzero(prefix == p)
+                    place = starts[names][:, None] + np.arange(p)
+                    first, counts = bits[place], count[place]
+                    extend(
+                        np.arange(len(names)), 0, 1, np.zeros(len(names), dtype=np.uint64), np.full(len(names), float(n_classes))
+                    )
             which = np.concatenate(out_doc) if out_doc else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(which)),
                     batch.column(1).take(pa.array(which)),
-                    pa.array(np.concatenate(out_sig).view(np.int64) if out_sig else np.zeros(0, dtype=np.int64)),
+                    pa.array((np.concatenate(out_sig) >> SHORTEN).view(np.int64) if out_sig else np.zeros(0, dtype=np.int64)),
                 ],
-                names=["doc", "n", "signature"],
+                names=["no", "n", "signature"],
             )
 
-    return classes.select("doc", "n", "bits").mapInArrow(run, schema)
+    return classes.select("no", "n", "bits").mapInArrow(run, schema)
 
 
 def dense_sketches(classes: DataFrame) -> DataFrame:
@@ -198,31 +223,40 @@ def dense_sketches(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(
-    texts: DataFrame, similarity: float = 0.8, min_words: int = 45
+    texts: DataFrame, similarity: float = 0.8, min_words: int = 45, depth: int = 3
 ) -> tuple[DataFrame, DataFrame]:
     """From (id, text): members (id, doc) and links (doc_a, doc_b), doc_a < doc_b, between different classes."""
-    rows = shared_checkpoint(sketches(texts, max(2, min_words)))
+    depth = max(1, min(depth, int(least_shared(np.array([max(1, min_words)]), similarity)[0])))
+    rows = shared_checkpoint(sketches(texts, max(1, min_words)))
     members = rows.select("id", "doc", "check").distinct()
     classes = rows.groupBy("doc", "check").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).drop("check")
-    classes = shared_checkpoint(dense_sketches(classes))
-    holes = dense_and_signatures(classes, bit_rarity(classes), similarity)
+    # short running numbers stand for the texts in the join; they are written down with the texts, so they never change
+    classes = shared_checkpoint(dense_sketches(classes).withColumn("no", F.monotonically_increasing_id()))
+    n_classes = classes.count()
+    holes = signatures(classes, bit_rarity(classes), max(1, n_classes), similarity, depth)
     share = Fraction(similarity).limit_denominator(1000)
     a, b = holes.alias("a"), holes.alias("b")
     fits = F.least("a.n", "b.n") * share.denominator >= F.greatest("a.n", "b.n") * share.numerator
-    meet = a.join(b, (F.col("a.signature") == F.col("b.signature")) & (F.col("a.doc") < F.col("b.doc")) & fits)
-    candidates = meet.select(F.col("a.doc").alias("doc_a"), F.col("b.doc").alias("doc_b")).distinct()
-    sides = [
-        classes.select(*(F.col(c).alias(f"{c}_{x}") for c in ("doc", "n", "bits", "s0", "s1", "s2", "s3"))) for x in "ab"
-    ]
-    longer = F.greatest("n_a", "n_b")
-    needed = F.ceil(longer * share.numerator / share.denominator)
+    meet = a.join(b, (F.col("a.signature") == F.col("b.signature")) & (F.col("a.no") < F.col("b.no")) & fits)
+    candidates = meet.select(F.col("a.no").alias("no_a"), F.col("b.no").alias("no_b")).distinct()
+
+    def side(x: str, *columns: str) -> DataFrame:
+        return classes.select(*(F.col(c).alias(f"{c}_{x}") for c in ("no", *columns)))
+
+    sketch = ("n", "s0", "s1", "s2", "s3")
+    needed = F.ceil(F.greatest("n_a", "n_b") * share.numerator / share.denominator)
     distance = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(4)), F.lit(0))
-    links = (
-        candidates.join(sides[0], "doc_a")
-        .join(sides[1], "doc_b")
+    close = (
+        candidates.join(side("a", *sketch), "no_a")
+        .join(side("b", *sketch), "no_b")
         .where(distance <= F.col("n_a") + F.col("n_b") - 2 * needed)
-        .where(F.size(F.array_intersect("bits_a", "bits_b")) >= needed)
-        .select("doc_a", "doc_b")
+        .select("no_a", "no_b", needed.alias("needed"))
+    )
+    links = (
+        close.join(side("a", "doc", "bits"), "no_a")
+        .join(side("b", "doc", "bits"), "no_b")
+        .where(F.size(F.array_intersect("bits_a", "bits_b")) >= F.col("needed"))
+        .select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
     )
     return members.select("id", "doc"), links
 
