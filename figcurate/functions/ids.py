@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Python's white space, spelled out because Java's ``\s`` lacks most of it (fixed values).
-PYWS = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+PYWS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 #: The same characters, to be taken off at the ends of a value.

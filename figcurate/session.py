@@ -42,3 +42,12 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for work that costs far more than a shuffle of its input.
+
+    Only inputs of fewer partitions (few or small files) are dealt out anew; large ones stay as they were read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from figcurate.functions.text import canonical_license_text
@@ -221,7 +222,7 @@ def parse_articles(articles: DataFrame, require_caption: bool = True, keep_failu
     ``metadata`` is a struct as in ``METADATA`` or null.  Articles that cannot be read give one row with ``parsed`` = failed if
     ``keep_failures``, else none.
     """
-    schema = FIGURE_TEXT.add("parsed", "string")
+    schema = T.StructType([*FIGURE_TEXT.fields, T.StructField("parsed", T.StringType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

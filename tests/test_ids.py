@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from figcurate.functions import ids
 
-WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0      　"
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0      \u3000"
 
 
 def test_strip_agrees_with_python(values):
