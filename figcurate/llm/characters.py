@@ -41,8 +41,8 @@ LOOK_ALIKES = {
 #: Kinds of compatibility decompositions that only change width, style or presentation (fixed values).
 FORM_KINDS = ("<wide>", "<narrow>", "<font>", "<small>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>")
 #: Invisible characters outside the category of format characters (fixed values).
-INVISIBLE = "­͏ᅟᅠ឴឵ㅤﾠ"
-HYPHENS = "‐‑⁃˗"
+INVISIBLE = "\u00ad\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
+HYPHENS = "\u2010\u2011\u2043\u02d7"
 #: Compatibility characters that look like the letter they stand for (fixed values).
 LIKE_LETTERS = "µſϐϑϕϖϰϱϴϵϹ"
 
@@ -50,7 +50,7 @@ LIKE_LETTERS = "µſϐϑϕϖϰϱϴϵϹ"
 @lru_cache(maxsize=None)
 def _folded(char: str) -> str:
     """The character's form with every accepted decomposition applied, canonically decomposed."""
-    if char in INVISIBLE or unicodedata.category(char) == "Cf" or "︀" <= char <= "️":
+    if char in INVISIBLE or unicodedata.category(char) == "Cf" or "\ufe00" <= char <= "\ufe0f":
         return ""
     if char in HYPHENS:
         return "-"

@@ -36,6 +36,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from figcurate.session import spread
+
 LABELS = ("PLAIN", "DROP", "INLINE", "CHAR", "HEADING", "ITEM", "CODE", "FORMULA", "TABLE")
 PLAIN, DROP, INLINE, CHAR, HEADING, ITEM, CODE, FORMULA, TABLE = range(9)
 
@@ -573,7 +575,7 @@ def render(found: list[Leaf], labels: np.ndarray, field: Field, depth: int = 0)
             row = _table(text) if leaf.kind != "text" else text.strip()
             if row:
                 line("", row) if leaf.kind != "text" or previous != TABLE else out.append(" | " + row)
-        if label != DROP:
+        if label != DROP and not (label in (CHAR, INLINE) and previous in (HEADING, ITEM) and not fresh):
             previous = label
     text = "".join(out)
     text = re.sub(r"[ \t]+", " ", text) if "```" not in text else text
@@ -623,7 +625,7 @@ def with_markup(records: DataFrame, field: Field | None = None) -> DataFrame:
             )
 
     columns = records.select("record_id", "caption", "reference_texts")
-    return columns.mapInArrow(run, "record_id bigint, text_field string")
+    return spread(columns).mapInArrow(run, "record_id bigint, text_field string")
 
 
 def cleaned(items: DataFrame, field: Field | None = None) -> DataFrame:
@@ -641,4 +643,4 @@ def cleaned(items: DataFrame, field: Field | None = None) -> DataFrame:
             )
 
     schema = "record_id bigint, text_field string, item int, text string, has_markup boolean"
-    return items.select("record_id", "text_field", "item", "text").mapInArrow(run, schema)
+    return spread(items.select("record_id", "text_field", "item", "text")).mapInArrow(run, schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figcurate.session import shared_checkpoint
+from figcurate.session import shared_checkpoint, spread
 
 SLOTS = 1 << 17
 DENSE = 256
@@ -114,7 +114,7 @@ def sketches(texts: DataFrame, min_words: int) -> DataFrame:
                 names=["id", "doc", "check", "n", "bits"],
             )
 
-    return texts.select(F.col("id").cast("bigint"), "text").mapInArrow(run, schema)
+    return spread(texts.select(F.col("id").cast("bigint"), "text")).mapInArrow(run, schema)
 
 
 def bit_rarity(classes: DataFrame) -> np.ndarray:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from figcurate.llm.tokens import DEFAULT_PATTERN, DEFAULT_VOCABULARY, FragmentEncoder
+from figcurate.session import spread
 
 SHARD = 2048
 #: BM25 constants (usual values), terms of a query, and neighbours asked for.
@@ -79,7 +80,7 @@ def measured(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, pattern
             )
 
     schema = "doc_id bigint, n_tokens bigint, terms array<bigint>, counts array<smallint>"
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    return spread(documents.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(run, schema)
 
 
 class Bm25:

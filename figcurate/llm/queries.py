@@ -129,4 +129,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_levels": p10_levels,
 }
 
-SQL: dict[str, str] = {}
+_PAIRS = """pairs AS (SELECT DISTINCT
+    CASE WHEN regexp_extract(pmcid, '[0-9]+') <> '' THEN 'PMC' || regexp_extract(pmcid, '[0-9]+') END AS article,
+    nullif(trim(regexp_replace(trim(parent_image_id), '(?i)\\.(jpg|png)$', '')), '') AS image FROM subfigure_records)"""
+
+SQL: dict[str, str] = {
+    "p3_found": f"""WITH RECURSIVE {_PAIRS},
+      edges AS (SELECT DISTINCT x.article AS a, y.article AS b FROM pairs x JOIN pairs y ON x.image = y.image AND x.article <> y.article),
+      reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+      SELECT a AS pmcid_a, b AS pmcid_b FROM reach WHERE a < b""",
+    "p5_found": """WITH texts AS (SELECT caption_id AS id, caption AS t FROM singlepanel_records UNION SELECT caption_id, main_caption FROM subfigure_records),
+      split AS (SELECT row_number() OVER () AS doc, id, regexp_extract_all(lower(t), '[\\p{L}\\p{N}]+') AS words FROM texts WHERE t IS NOT NULL),
+      docs AS (SELECT doc, id, len(words) AS n, words FROM split WHERE len(words) >= 45),
+      tokens AS (SELECT doc, id, n, word, row_number() OVER (PARTITION BY doc, word) AS k FROM (SELECT doc, id, n, unnest(words) AS word FROM docs)),
+      shared AS (SELECT x.id AS a, y.id AS b, x.doc AS dx, y.doc AS dy, count(*) AS c, max(x.n) AS nx, max(y.n) AS ny
+        FROM tokens x JOIN tokens y ON x.word = y.word AND x.k = y.k AND x.id < y.id AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n GROUP BY ALL)
+      SELECT DISTINCT a AS caption_id_a, b AS caption_id_b FROM shared WHERE 5 * c >= 4 * greatest(nx, ny)""",
+}

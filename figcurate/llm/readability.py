@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from figcurate.session import spread
+
 #: Bound on the rated documents used to fit.
 MAX_RATED = 2000
 MIN_DOCUMENTS = 3
@@ -62,7 +64,7 @@ def syllables(word: str) -> int:
                 n -= 1
             elif re.search(r"[^aeiouytd]ed$|[^aeiouysxzcg]es$", part):
                 n -= 1
-        n += len(re.findall(r"(?<![tscgx])i(?:a|o|u)(?!u)|eo(?=[^u])|ua", part))
+        n += len(re.findall(r"(?<![tscgx])i(?:a|o|u)(?!u)|(?<![qg])ua", part))
         total += max(n, 1) if part else 0
     return max(total, 1)
 
@@ -187,12 +189,19 @@ def fit(texts: list[str], levels: list[float]) -> Model:
         if len(points) < 2 or xs[0] == xs[-1]:
             continue
         model.points[name] = ([float(x) for x in xs], [g for _, g in points])
-        error = np.interp(value[known], *model.points[name]) - y[known]
+        error = on_scale(value[known], *model.points[name]) - y[known]
         model.weights[name] = 1 / (float(np.mean(error**2)) + 0.01) ** 2
     model.grades = _word_grades(texts, y)
     return model
 
 
+def on_scale(values: np.ndarray, xs: list[float], ys: list[float]) -> np.ndarray:
+    """Interpolation between the points; beyond them on with their mean slope, so grades that nobody rated can be reached."""
+    slope = (ys[-1] - ys[0]) / (xs[-1] - xs[0])
+    inside = np.interp(values, xs, ys)
+    return np.clip(inside + slope * (np.minimum(values - xs[0], 0) + np.maximum(values - xs[-1], 0)), 1, 5)
+
+
 def weighted_median(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """By row; nan values have no weight; nan where no value is known."""
     weights = np.where(np.isnan(values), 0.0, weights)
@@ -208,7 +217,7 @@ def calibrated(model: Model, tally: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     names = [n for n in ESTIMATES if n in model.points]
     if not names:
         return np.stack([np.clip(raw[n] / 3, 1, 5) for n in CLASSIC], axis=1), np.ones(len(CLASSIC))
-    values = [np.where(np.isnan(raw[n]), np.nan, np.interp(raw[n], *model.points[n])) for n in names]
+    values = [np.where(np.isnan(raw[n]), np.nan, on_scale(np.nan_to_num(raw[n]), *model.points[n])) for n in names]
     return np.stack(values, axis=1), np.array([model.weights[n] for n in names])
 
 
@@ -261,7 +270,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, bound: int = MAX_RAT
                 names=["doc_id", "n_words", "is_english", "grade", "level"],
             )
 
-    return documents.select(F.col("doc_id").cast("bigint"), "text", "lang").mapInArrow(run, schema)
+    return spread(documents.select(F.col("doc_id").cast("bigint"), "text", "lang")).mapInArrow(run, schema)
 
 
 def demanding_english(levels: DataFrame, min_words: int = 40, min_level: int = 4) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from figcurate.session import spread
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-tokenizer pattern that belongs to the byte-level vocabularies (fixed value).
 DEFAULT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -131,4 +133,4 @@ def encode_corpus(
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return spread(df.select(F.col(id_col), F.col(text_col))).mapInArrow(run, schema)

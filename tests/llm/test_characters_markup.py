@@ -11,8 +11,9 @@ from figcurate.llm import markup as M
 CHANGED = {
     "Ｆｉｇｕｒｅ": "Figure", "𝐂𝐞𝐥𝐥": "Cell", "eﬀusion": "effusion", "5 µm": "5 μm", "Señara": "Señara", "a b": "a b", "co­op": "coop",
     "x​y": "xy", "phase‑contrast": "phase-contrast", "grоuр": "group", "νamimotin": "vamimotin", "ВYNZ19": "BYNZ19", "﻿Green": "Green",
-    "Ω": "Ω", "ệ": "ệ", "ộ": "ộ", "dɑrk": "dark", "（n>１３）": "(n>13)", "ϲurve": "curve", "‪from‬": "from",
-    "a  b": "a  b", "ＡΒс": "ABc", "K": "K", "‍": "",
+    "dɑrk": "dark", "（n>１３）": "(n>13)", "ϲurve": "curve", "\u202afrom\u202c": "from",
+    chr(0x2126): chr(0x3A9), "e\u0323\u0302": chr(0x1EC7), "o\u0302\u0323": chr(0x1ED9), chr(0x212A): "K",
+    "a\u2003b": "a b", "ＡΒс": "ABc", "\u200d": "",
 }
 KEPT = [
     "3 × 10⁵ cm²", "x̄ = 4", "κ-VGKW3", "5 μm", "клиника", "εικόνα", "患者", "a – b — c", "Señara", "naïve Øre", "TNFα", "ß", "½ … ™ ①", "plain", "", "Δt",

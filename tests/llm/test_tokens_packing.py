@@ -37,7 +37,7 @@ def test_ids_are_those_of_the_whole_text(whole):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="ab1 .'\n\té　\u0085東", max_size=30), min_size=1, max_size=20))
+@given(texts=st.lists(st.text(alphabet="ab1 .'\n\té　\u0085東", max_size=30), min_size=1, max_size=20))
 def test_any_text(texts, whole):
     assert ids_of(texts) == [whole(t) for t in texts]
 
