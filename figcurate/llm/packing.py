@@ -147,7 +147,7 @@ def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> np.ndarray:
             near = np.flatnonzero(score > 0)
             if len(near) > NEIGHBOURS:
                 near = near[np.argpartition(-score[near], NEIGHBOURS)[:NEIGHBOURS]]
-            for i in near[np.lexsort((near, -score[near]))]:
+            for i in near[np.lexsort((near, -score[near], -sizes[near]))]:  # of the nearest, the large ones first
                 if sizes[i] <= room:
                     take(int(i), int(sizes[i]), number)
                     room -= int(sizes[i])
