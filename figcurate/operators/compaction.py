@@ -9,14 +9,14 @@ that started from an older snapshot fails instead of overwriting newer data.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from figcurate.functions import ids
+from figcurate.sources.files import Files
 
 
 def distinct_files(files: DataFrame, stores: DataFrame) -> DataFrame:
@@ -52,6 +52,15 @@ def small_files(files: DataFrame, stores: DataFrame, named: DataFrame) -> DataFr
     )
 
 
+def crowded_partitions(small: DataFrame, max_small: int = 8) -> DataFrame:
+    """(store_name, partition, small_files, small_bytes): folders that hold more than ``max_small`` small files."""
+    folder = F.regexp_extract("place", "^(.*)/[^/]*$", 1)
+    counted = small.groupBy("store_name", folder.alias("partition")).agg(
+        F.count("*").alias("small_files"), F.sum("n_bytes").alias("small_bytes")
+    )
+    return counted.where(F.col("small_files") > max_small)
+
+
 def consolidation_plan(small: DataFrame, targets_per_bucket: int = 4, min_small: int = 2) -> DataFrame:
     """(store_name, file_id, bucket, container, offset_bytes, n_bytes): each file in exactly one container.
 
@@ -100,22 +109,18 @@ class SnapshotTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str]):
-        self.spark, self.path, self.partition_by = spark, path, partition_by
-        os.makedirs(os.path.join(path, "_snapshots"), exist_ok=True)
+        self.spark, self.partition_by, self.store = spark, partition_by, Files(spark, path)
 
     # snapshots
     def version(self) -> int:
-        names = [int(n[:-5]) for n in os.listdir(os.path.join(self.path, "_snapshots")) if n.endswith(".json")]
-        return max(names, default=0)
+        return max((int(n[:-5]) for n in self.store.names("_snapshots") if n.endswith(".json")), default=0)
 
-    def files(self, version: int | None = None) -> dict[str, list[str]]:
+    def files(self, version: int | None = None) -> dict[str, dict[str, int]]:
+        """By partition the files of a snapshot with their sizes."""
         version = self.version() if version is None else version
-        if not version:
-            return {}
-        with open(os.path.join(self.path, "_snapshots", f"{version}.json"), encoding="utf-8") as f:
-            return json.load(f)
+        return json.loads(self.store.read(f"_snapshots/{version}.json")) if version else {}
 
-    def _commit(self, base: int, changed: dict[str, list[str]], append: bool) -> int:
+    def _commit(self, base: int, changed: dict[str, dict[str, int]], append: bool) -> int:
         while True:
             now = self.version()
             current = self.files(now)
@@ -126,30 +131,17 @@ class SnapshotTable:
                     raise Conflict(f"partitions changed since snapshot {base}: {clash[:3]}")
             merged = dict(current)
             for part, names in changed.items():
-                merged[part] = merged.get(part, []) + names if append else names
-            temporary = os.path.join(self.path, "_snapshots", f".{uuid.uuid4().hex}")
-            with open(temporary, "w", encoding="utf-8") as f:
-                json.dump(merged, f)
-            try:
-                os.link(temporary, os.path.join(self.path, "_snapshots", f"{now + 1}.json"))
+                merged[part] = {**merged.get(part, {}), **names} if append else names
+            if self.store.create(f"_snapshots/{now + 1}.json", json.dumps(merged)):
                 return now + 1
-            except FileExistsError:
-                continue
-            finally:
-                os.unlink(temporary)
 
-    def _write(self, df: DataFrame) -> dict[str, list[str]]:
+    def _write(self, df: DataFrame) -> dict[str, dict[str, int]]:
         """Write new files beside the old ones, in a batch folder of their own; returns them by partition."""
-        batch = f"batch-{uuid.uuid4().hex}"
-        target = os.path.join(self.path, "data", batch)
-        df.write.option("compression", "zstd").partitionBy(*self.partition_by).mode("overwrite").parquet(target)
-        out: dict[str, list[str]] = {}
-        for folder, _, names in os.walk(target):
-            for name in sorted(names):
-                if name.endswith(".parquet"):
-                    out.setdefault(os.path.relpath(folder, target), []).append(
-                        os.path.relpath(os.path.join(folder, name), self.path)
-                    )
+        batch = f"data/batch-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").partitionBy(*self.partition_by).mode("overwrite").parquet(self.store.path(batch))
+        out: dict[str, dict[str, int]] = {}
+        for name, size in sorted(self.store.walk(batch, ".parquet").items()):
+            out.setdefault(name.removeprefix(batch + "/").rpartition("/")[0], {})[name] = size
         return out
 
     # operations
@@ -159,15 +151,15 @@ class SnapshotTable:
     def read(self, version: int | None = None, partitions: list[str] | None = None) -> DataFrame:
         found = self.files(version)
         chosen = [f for p, names in found.items() if partitions is None or p in partitions for f in names]
-        frames = {}
+        batches: dict[str, list[str]] = {}
         for name in chosen:
-            frames.setdefault(os.sep.join(name.split(os.sep)[:2]), []).append(os.path.join(self.path, name))
-        if not frames:
-            raise FileNotFoundError(f"no data in {self.path}")
+            batches.setdefault("/".join(name.split("/")[:2]), []).append(self.store.path(name))
+        if not batches:
+            raise FileNotFoundError(f"no data in {self.store.root}")
         out = None
-        for base, names in sorted(frames.items()):
-            part = self.spark.read.option("basePath", os.path.join(self.path, base)).parquet(*names)
-            out = part if out is None else out.unionByName(part)
+        for batch, names in sorted(batches.items()):
+            rows = self.spark.read.option("basePath", self.store.path(batch)).parquet(*names)
+            out = rows if out is None else out.unionByName(rows)
         return out
 
     def crowded(self, small_below: int, max_small: int) -> list[str]:
@@ -175,7 +167,7 @@ class SnapshotTable:
         return sorted(
             part
             for part, names in self.files().items()
-            if sum(os.path.getsize(os.path.join(self.path, n)) < small_below for n in names) > max_small
+            if sum(size < small_below for size in names.values()) > max_small
         )
 
     def compact(self, target_bytes: int, small_below: int | None = None, max_small: int = 1) -> dict[str, int]:
@@ -183,9 +175,9 @@ class SnapshotTable:
         base = self.version()
         before = self.files(base)
         parts = self.crowded(target_bytes // 2 if small_below is None else small_below, max_small)
-        changed: dict[str, list[str]] = {}
+        changed: dict[str, dict[str, int]] = {}
         for part in parts:
-            size = sum(os.path.getsize(os.path.join(self.path, n)) for n in before[part])
+            size = sum(before[part].values())
             rows = self.read(base, [part])
             changed.update(self._write(rows.repartition(max(1, -(-size // target_bytes)))))
         if changed:
@@ -196,20 +188,12 @@ class SnapshotTable:
         """Delete the files that none of the last ``keep`` snapshots names; returns how many."""
         last = self.version()
         used = {f for v in range(max(1, last - keep + 1), last + 1) for names in self.files(v).values() for f in names}
-        gone = 0
-        for folder, _, names in os.walk(os.path.join(self.path, "data")):
-            for name in names:
-                full = os.path.join(folder, name)
-                if name.endswith(".parquet") and os.path.relpath(full, self.path) not in used:
-                    os.unlink(full)
-                    gone += 1
-        return gone
+        gone = [name for name in self.store.walk("data", ".parquet") if name not in used]
+        for name in gone:
+            self.store.delete(name)
+        return len(gone)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Dynamic overwrite: replace only the partitions that ``df`` holds."""
     df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*partition_by).parquet(path)
-
-
-def is_small(n_bytes: Column, limit: Column) -> Column:
-    return (n_bytes > 0) & (n_bytes < limit)

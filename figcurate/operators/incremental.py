@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figcurate.functions import ids
+from figcurate.sources.files import Files
 
 PENDING, LEASED, DONE = "pending", "leased", "done"
 
@@ -102,31 +102,28 @@ class WorkLedger:
     """
 
     def __init__(self, spark: SparkSession, folder: str, key: list[str]):
-        self.spark, self.folder, self.key = spark, folder, key
-        for part in ("tokens", "claims", "done"):
-            os.makedirs(os.path.join(folder, part), exist_ok=True)
+        self.spark, self.key, self.files = spark, key, Files(spark, folder)
 
     def _tokens(self) -> list[dict]:
-        out = []
-        for name in os.listdir(os.path.join(self.folder, "tokens")):
-            with open(os.path.join(self.folder, "tokens", name), encoding="utf-8") as f:
-                out.append(json.load(f))
-        return sorted(out, key=lambda x: x["token"])
+        found = [json.loads(self.files.read(f"tokens/{name}")) for name in self.files.names("tokens")]
+        return sorted(found, key=lambda x: x["token"])
 
     def _schema(self, items: DataFrame) -> str:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name in [*self.key, "version"])
 
     def _read(self, part: str, tokens: list[int], schema: str) -> DataFrame:
-        paths = [p for t in tokens if os.path.exists(os.path.join(p := self._path(part, t), "_SUCCESS"))]
-        empty = self.spark.createDataFrame([], schema + ", token bigint")
-        frames = [self.spark.read.schema(schema).parquet(p).withColumn("token", F.lit(t)) for t, p in
-                  ((int(p.rsplit("=", 1)[1]), p) for p in paths)]
-        for frame in frames:
-            empty = empty.unionByName(frame)
-        return empty
+        out = self.spark.createDataFrame([], schema + ", token bigint")
+        for token in tokens:
+            if self.files.exists(f"{self._part(part, token)}/_SUCCESS"):  # a run that died while writing counts for nothing
+                rows = self.spark.read.schema(schema).parquet(self._path(part, token))
+                out = out.unionByName(rows.withColumn("token", F.lit(token).cast("bigint")))
+        return out
+
+    def _part(self, part: str, token: int) -> str:
+        return f"{part}/token={token}"
 
     def _path(self, part: str, token: int) -> str:
-        return os.path.join(self.folder, part, f"token={token}")
+        return self.files.path(self._part(part, token))
 
     def states(self, items: DataFrame, now: float | None = None) -> DataFrame:
         """``items`` (key columns and ``version``) with ``state`` and the latest ``token``."""
@@ -149,26 +146,21 @@ class WorkLedger:
         now = time.time() if now is None else now
         tokens = self._tokens()
         token = tokens[-1]["token"] + 1 if tokens else 1
-        while True:
-            try:
-                with open(os.path.join(self.folder, "tokens", f"{token:012d}.json"), "x", encoding="utf-8") as f:
-                    json.dump({"token": token, "holder": holder, "lease_until": now + lease_seconds,
-                               "at": dt.datetime.fromtimestamp(now, dt.UTC).isoformat()}, f)
-                break
-            except FileExistsError:
-                token += 1
+        about = {"holder": holder, "lease_until": now + lease_seconds, "at": dt.datetime.fromtimestamp(now, dt.UTC).isoformat()}
+        while not self.files.create(self._token_file(token), json.dumps({"token": token, **about})):
+            token += 1
         pending = self.states(items, now).where(F.col("state") == PENDING).select(*self.key, "version")
         pending.write.mode("overwrite").parquet(self._path("claims", token))
         return token, self.spark.read.schema(self._schema(items)).parquet(self._path("claims", token))
 
     def fail(self, token: int) -> None:
         """Give the items of ``token`` back at once, without waiting for its lease to end."""
-        path = os.path.join(self.folder, "tokens", f"{token:012d}.json")
-        with open(path, encoding="utf-8") as f:
-            value = json.load(f) | {"failed": True}
-        with open(path + ".tmp", "w", encoding="utf-8") as f:
-            json.dump(value, f)
-        os.replace(path + ".tmp", os.path.join(self.folder, "tokens", f"{token:012d}.json"))
+        value = json.loads(self.files.read(self._token_file(token))) | {"failed": True}
+        self.files.replace(self._token_file(token), json.dumps(value))
+
+    @staticmethod
+    def _token_file(token: int) -> str:
+        return f"tokens/{token:012d}.json"
 
     def complete(self, token: int, handled: DataFrame) -> None:
         """Record ``handled`` as done under ``token``; a repeated call writes the same path again.

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from figcurate.session import shared_checkpoint
+
 Y_THRESHOLD = 0.05
 
 
@@ -74,10 +76,11 @@ def contiguity(panels: DataFrame, parent: list[str], index: str) -> DataFrame:
 def numbered_chunks(df: DataFrame, key: str, size: int, name: str = "shard") -> DataFrame:
     """``df`` with the number of its chunk of ``size`` rows in the order of the unique ``key``.
 
-    Places are counted in two steps, per range partition and within it, so no task sorts everything.
+    Places are counted in two steps, per range partition and within it, so no task sorts everything.  The partitioned rows are
+    written down once, as both steps must see the same partitions.
     """
     ranged = df.repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
+    ranged = shared_checkpoint(ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(key))))
     per_part = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
     before = per_part.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     place = F.col("_at") - 1 + F.col("_before")

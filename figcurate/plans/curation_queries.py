@@ -417,12 +417,12 @@ def panel_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""SELECT parent, list(record_id ORDER BY subfigure_index, record_id) AS records FROM
+    f"""SELECT parent, array_to_string(list(record_id ORDER BY subfigure_index, record_id), ' ') AS records FROM
     (SELECT {_PARENT_KEY} AS parent, * FROM subfigure_records) WHERE parent IS NOT NULL GROUP BY 1"""
 )
 def panel_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = panels.nested(_keyed_panels(spark, sf_dir), ["parent"], ["subfigure_index", "record_id"], [])
-    return nested.select("parent", F.transform("panels", lambda p: p["record_id"]).alias("records"))
+    return nested.select("parent", F.array_join(F.transform("panels", lambda p: p["record_id"].cast("string")), " ").alias("records"))
 
 
 @register(
@@ -472,9 +472,9 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.judged(_parents(spark, sf_dir), "raw_prediction", "expected_subcaption_count", "caption_finish_reason")
 
 
-@register(f"WITH {_PARTS} SELECT record_id, p AS parts, len(p) AS predicted_count, {_STATUS} AS status FROM parts")
+@register(f"WITH {_PARTS} SELECT record_id, array_to_string(p, ' / ') AS parts, len(p) AS predicted_count, {_STATUS} AS status FROM parts")
 def prediction_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _judged(spark, sf_dir).select("record_id", "parts", "predicted_count", "status")
+    return _judged(spark, sf_dir).select("record_id", F.array_join("parts", " / ").alias("parts"), "predicted_count", "status")
 
 
 @register(f"WITH {_PARTS}, s AS (SELECT {_STATUS} AS value FROM parts) SELECT value, count(*) AS n FROM s GROUP BY 1")
@@ -611,11 +611,11 @@ _UNION = f"""cand AS (
     CASE WHEN coalesce(pmcid, '') <> '' THEN pmcid || '_' ELSE '' END ||
       coalesce(nullif({_graphic(_given("selected_image_href", "local_image_path", "figure_id"))}, ''), nullif(figure_id, ''), 'figure') AS image_id,
     NULL::BIGINT AS subfigure_index, coalesce(local_image_path, '') AS local_image_path, coalesce(caption, '') AS caption,
-    coalesce(reference_texts, []) AS reference_texts, CAST(multipanel_score AS DOUBLE) AS upstream_score
+    array_to_string(coalesce(reference_texts, []), ' / ') AS reference_texts, CAST(multipanel_score AS DOUBLE) AS upstream_score
   FROM singlepanel_records WHERE image_status = 'ready' AND is_multipanel = false
   UNION ALL
   SELECT 'subfigure', {_SHARED}, '', {_given("image_id", "panel_image_id")}, subfigure_index, coalesce(local_panel_path, ''),
-    coalesce(subcaption, ''), coalesce(reference_texts, []), panel_confidence
+    coalesce(subcaption, ''), array_to_string(coalesce(reference_texts, []), ' / '), panel_confidence
   FROM subfigure_records WHERE crop_status = 'ready' AND caption_alignment_status = 'aligned' AND trim(subcaption) <> '')"""
 
 
@@ -623,7 +623,7 @@ _UNION = f"""cand AS (
 def candidate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidates(spark, sf_dir).select(
         "source_type", "pmcid", "article_version", "resolved_article_version", "pmid", "journal_title", "image_id", "subfigure_index",
-        "local_image_path", "caption", "reference_texts", "upstream_score",
+        "local_image_path", "caption", F.array_join("reference_texts", " / ").alias("reference_texts"), "upstream_score",
     )
 
 
@@ -661,14 +661,19 @@ def image_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.histogram(_single(spark, sf_dir), F.col("image_status"))
 
 
-@register("SELECT map_from_entries(list((value, n) ORDER BY value)) AS histogram FROM (SELECT event_type AS value, count(*) AS n FROM events GROUP BY 1)")
+@register(
+    """SELECT string_agg(value || '=' || n, ' ' ORDER BY value) AS histogram FROM
+    (SELECT event_type AS value, count(*) AS n FROM events GROUP BY 1)"""
+)
 def event_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.histogram_map(table(spark, sf_dir, "events"), F.col("event_type"))
+    named = F.transform("entries", lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    rows = summary.histogram_map(table(spark, sf_dir, "events"), F.col("event_type")).select(F.map_entries("histogram").alias("entries"))
+    return rows.select(F.array_join(named, " ").alias("histogram"))
 
 
-@register("SELECT list_sort(list(DISTINCT coalesce(nullif(image_selection_method, ''), 'unrecorded'))) AS names FROM singlepanel_records")
+@register("SELECT array_to_string(list_sort(list(DISTINCT coalesce(nullif(image_selection_method, ''), 'unrecorded'))), ' ') AS names FROM singlepanel_records")
 def selection_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.distinct_names(_single(spark, sf_dir), "image_selection_method")
+    return summary.distinct_names(_single(spark, sf_dir), "image_selection_method").select(F.array_join("names", " ").alias("names"))
 
 
 @register("SELECT record_id, pmcid FROM singlepanel_records ORDER BY pmcid, record_id LIMIT 50")

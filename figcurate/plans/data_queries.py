@@ -42,10 +42,15 @@ def p2_consolidation_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.consolidation_plan(_small(spark, sf_dir))
 
 
+def p2_crowded_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.crowded_partitions(_small(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_work_states": p1_work_states,
     "p2_found": p2_found,
+    "p2_crowded_partitions": p2_crowded_partitions,
     "p2_consolidation_plan": p2_consolidation_plan,
 }
 
@@ -106,4 +111,8 @@ SQL: dict[str, str] = {
     "p2_found": f"""WITH {_SMALL}
       SELECT f.file_id FROM files f WHERE f.n_bytes > 0 AND f.n_bytes < f.small_below_bytes
       AND EXISTS (SELECT 1 FROM named n WHERE n.store_name = f.store_name AND n.place = f.place)""",
+    "p2_crowded_partitions": f"""WITH {_SMALL}, small AS (SELECT f.* FROM files f WHERE f.n_bytes > 0 AND f.n_bytes < f.small_below_bytes
+      AND EXISTS (SELECT 1 FROM named n WHERE n.store_name = f.store_name AND n.place = f.place))
+      SELECT store_name, regexp_extract(place, '^(.*)/[^/]*$', 1) AS partition, count(*) AS small_files, CAST(sum(n_bytes) AS BIGINT) AS small_bytes
+      FROM small GROUP BY 1, 2 HAVING count(*) > 8""",
 }

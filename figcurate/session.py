@@ -6,6 +6,7 @@ session names in ``spark.checkpoint.dir``; a folder of our own is set only where
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set to a temporary folder only if the session names none."""
+    """The session's checkpoint folder.
+
+    Only a session of a single process that names none gets a temporary one; on a cluster the folder has to be a shared one,
+    so there a missing setting is an error.
+    """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="figcurate-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="figcurate-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
 

@@ -73,7 +73,7 @@ def test_only_crowded_partitions_are_rewritten(spark, tmp_path):
 def test_conflicts_are_noticed(spark, tmp_path):
     table = make(spark, str(tmp_path))
     base = table.version()
-    changed = {"p=0": table.files()["p=0"][:1]}
+    changed = {"p=0": dict(list(table.files()["p=0"].items())[:1])}
     table.append(spark.createDataFrame([(999, 1)], "id bigint, p bigint"))  # another partition: no conflict
     table._commit(base, changed, append=False)
     table.append(spark.createDataFrame([(998, 0)], "id bigint, p bigint"))
