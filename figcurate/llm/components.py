@@ -52,8 +52,8 @@ def _search(edges: DataFrame, round_no: int) -> DataFrame:
     other = F.struct(F.xxhash64("b", F.lit(round_no)), F.col("b"))
     nodes = edges.groupBy("a").agg(F.min(other).alias("least"))
     seeds = nodes.where(rank < F.col("least")).select(F.col("a").alias("node"), F.col("a").alias("label"))
-    reached = shared_checkpoint(seeds)
-    frontier = reached
+    frontier = shared_checkpoint(seeds)
+    reached = frontier  # grows by union of what was written down
     while True:
         ahead = (
             frontier.join(edges, frontier.node == edges.a)
@@ -64,7 +64,7 @@ def _search(edges: DataFrame, round_no: int) -> DataFrame:
         frontier = shared_checkpoint(ahead)
         if frontier.isEmpty():
             return reached
-        reached = shared_checkpoint(reached.unionByName(frontier))
+        reached = reached.unionByName(frontier)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
