@@ -29,7 +29,7 @@ def _named_media(media: DataFrame, article: list[str]) -> DataFrame:
     )
     return given.select(*article, text.media_rank(F.col("url")).alias("rank"), "url", F.explode(names).alias("n")).select(
         *article, "rank", "url", F.col("n.kind").alias("kind"), F.col("n.name").alias("name")
-    )
+    ).distinct()
 
 
 def _named_links(links: DataFrame, keys: list[str]) -> DataFrame:
