@@ -24,7 +24,8 @@ def distinct_files(files: DataFrame, stores: DataFrame) -> DataFrame:
 
     Rows with a null or blank path name no file.  The stores are a fixed list.
     """
-    places = files.join(F.broadcast(stores.select("store_name", "root_dir")), "store_name").select(
+    listed = files.select("store_name", "file_id", "n_bytes", "stored_path")
+    places = listed.join(F.broadcast(stores.select("store_name", "root_dir")), "store_name").select(
         "store_name", "file_id", "n_bytes", ids.canonical_path(F.col("stored_path"), F.col("root_dir")).alias("place")
     )
     return (

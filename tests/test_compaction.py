@@ -30,6 +30,8 @@ def test_small_files(spark):
     got = sorted(r.file_id for r in C.small_files(listing, stores(spark), named).collect())
     assert got == [3, 9]
     assert C.small_files(listing.limit(0), stores(spark), named).count() == 0
+    clashing = listing.withColumns({c: F.lit("x") for c in ("root_dir", "place", "small_below_bytes", "target_bytes", "bucket")})
+    assert sorted(r.file_id for r in C.small_files(clashing, stores(spark), named).collect()) == [3, 9]
 
 
 def test_plan_holds_every_file_once(spark):

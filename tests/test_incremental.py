@@ -50,6 +50,14 @@ def test_failed_runs_and_old_leases_give_items_back(spark):
     assert {r.state for r in held.collect()} == {"pending"}
 
 
+def test_clashing_columns(spark):
+    records, runs = tables(spark)
+    history = ledger(spark, [(1, "PMC1", "F1", "3")])
+    more = {c: F.lit("x") for c in ("state", "token", "version", "succeeded", "held")}
+    got = inc.work_items(records.withColumns(more), history.withColumns(more), runs.withColumns({**more, "pmcid": F.lit("y")}))
+    assert {(r.pmcid, r.figure_id): r.state for r in got.collect()} == {("PMC1", "F1"): "done", ("PMC1", "F2"): "pending", ("PMC2", "F1"): "pending"}
+
+
 def test_empty_tables(spark):
     records, runs = tables(spark)
     empty = ledger(spark, [])
