@@ -38,6 +38,9 @@ DENSE = 256
 FEW_FIRST, FEW = 8.0, 2.0
 #: Signatures keep 48 bits, which makes the rows shorter; chance meetings end at the first comparison.
 SHORTEN = np.uint64(16)
+#: Texts of more words meet on single bits, as combinations would be too many; texts of between ``similarity`` times as many and
+#: as many words meet in both ways, so that no pair of fitting sizes is parted.
+LONG = 256
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,7 +166,8 @@ def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarit
             order = np.lexsort((bits, count, doc_no))
             bits, count = bits[order], count[order]
             starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            prefix = np.minimum(sizes - least_shared(sizes, similarity) + depth, sizes)
+            least = least_shared(sizes, similarity)
+            prefix = np.where(sizes <= LONG, np.minimum(sizes - least + depth, sizes), 0)
             out_doc: list[np.ndarray] = []
             out_sig: list[np.ndarray] = []
 
@@ -182,13 +186,19 @@ def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarit
                         extend(docs[more], c + 1, level + 1, sig[more], now[more])
 
             with np.errstate(over="ignore"):
-                for p in np.unique(prefix):
+                for p in np.unique(prefix[prefix > 0]):
                     names = np.flatnonzero(prefix == p)
                     place = starts[names][:, None] + np.arange(p)
                     first, counts = bits[place], count[place]
                     extend(
                         np.arange(len(names)), 0, 1, np.zeros(len(names), dtype=np.uint64), np.full(len(names), float(n_classes))
                     )
+                # long texts: every bit among the first ones that another text sets too
+                long = sizes >= least_shared(np.array([LONG]), similarity)[0]
+                at = np.arange(len(bits)) - np.repeat(starts, sizes)
+                single = np.repeat(long, sizes) & (at < np.repeat(sizes - least + 1, sizes)) & (count > 1)
+                out_doc.append(np.repeat(np.arange(len(sizes)), sizes)[single])
+                out_sig.append(_mix(bits[single] ^ _ODD))
             which = np.concatenate(out_doc) if out_doc else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [

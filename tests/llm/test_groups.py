@@ -120,6 +120,18 @@ def test_all_near_duplicates_are_found(spark, least, seed):
     assert len(want) > 40 and found(spark, texts, least) == want
 
 
+def test_long_texts_and_the_border_between_both_ways(spark):
+    r = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(4000)]
+    texts = []
+    for i, n in enumerate((180, 205, 250, 256, 260, 310, 900, 30000)):
+        base = list(r.choice(words, size=n))
+        drop = int(n * 0.19)
+        texts += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(base[drop:])), (10 * i + 2, " ".join(base[: n - drop])), (10 * i + 3, " ".join(base[2 * drop :]))]
+    want = similar(texts, 45)
+    assert len(want) >= 16 and found(spark, texts, 45) == want
+
+
 def test_copies_in_bulk_and_summary(spark):
     text = " ".join(f"word{k}" for k in range(50))
     texts = [(i, text) for i in range(40)] + [(100, text.replace("word3 ", "other ")), (101, " ".join(f"x{k}" for k in range(50)))]
