@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,3 +174,43 @@ class WorkLedger:
         if later and handled.join(claims, on, "left_semi").limit(1).count():
             raise StaleToken(f"token {token} is fenced off by a later claim")
         handled.select(on).write.mode("overwrite").parquet(self._path("done", token))
+
+    def process(
+        self, items: DataFrame, holder: str, handle: Callable[[DataFrame], DataFrame], output: str, lease_seconds: float = 3600.0,
+        now: float | None = None,
+    ) -> int | None:
+        """Claim what is pending, write ``handle`` of it under a path made of the token, and record it as done.
+
+        Returns the token, or None if nothing was pending.  A run that dies anywhere leaves output that ``results`` ignores and
+        a lease that ends; one that is repeated under the same token replaces its own output.
+        """
+        token, taken = self.claim(items, holder, lease_seconds, now)
+        if taken.isEmpty():
+            self.fail(token)
+            return None
+        handle(taken).write.mode("overwrite").parquet(self.output_path(output, token))
+        self.complete(token, taken)
+        return token
+
+    @staticmethod
+    def output_path(output: str, token: int) -> str:
+        return f"{output.rstrip('/')}/token={token}"
+
+    def results(self, items: DataFrame, output: str) -> DataFrame:
+        """The output rows that count: those of the token under which their item was last claimed and done.
+
+        Output rows carry the key columns and ``version``.  What a fenced-off or failed run wrote is not among them.
+        """
+        on = [*self.key, "version"]
+        tokens = [t["token"] for t in self._tokens()]
+        schema = self._schema(items)
+        latest = self._read("claims", tokens, schema).groupBy(on).agg(F.max("token").alias("token"))
+        valid = latest.join(self._read("done", tokens, schema).distinct(), [*on, "token"], "left_semi")
+        rows = None
+        for token in tokens:
+            if Files(self.spark, output).exists(f"token={token}/_SUCCESS"):
+                part = self.spark.read.parquet(self.output_path(output, token)).withColumn("token", F.lit(token).cast("bigint"))
+                rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+        if rows is None:
+            return valid.limit(0)
+        return rows.join(valid, [*on, "token"], "left_semi")

@@ -84,3 +84,31 @@ def test_ledger_life_cycle(spark, tmp_path):
     assert changed.count() == 1
     book.fail(fourth)
     assert book.claim(newer, "five", 100, now=301)[1].count() == 1
+
+
+def test_results_survive_failures_and_stale_writers(spark, tmp_path):
+    items = spark.createDataFrame([("a", 1), ("b", 1)], "key string, version bigint")
+    book, out = inc.WorkLedger(spark, str(tmp_path / "book"), ["key"]), str(tmp_path / "out")
+
+    def handle(rows):
+        return rows.withColumn("value", F.concat("key", F.lit("!")))
+
+    def broken(rows):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        book.process(items, "one", broken, out, 100, now=0)
+    assert book.results(items, out).count() == 0
+    # a writer that hangs: its output is there, but its lease ends before it completes
+    slow, taken = book.claim(items, "slow", 100, now=200)
+    handle(taken).write.parquet(book.output_path(out, slow))
+    assert book.process(items, "next", handle, out, 100, now=250) is None  # still leased
+    token = book.process(items, "next", handle, out, 100, now=400)
+    with pytest.raises(inc.StaleToken):
+        book.complete(slow, taken)
+    rows = book.results(items, out).collect()
+    assert sorted((r.key, r.value, r.token) for r in rows) == [("a", "a!", token), ("b", "b!", token)]
+    assert book.process(items, "again", handle, out, 100, now=500) is None  # nothing is repeated
+    newer = items.where("key = 'a'").withColumn("version", F.lit(2).cast("bigint")).unionByName(items.where("key = 'b'"))
+    book.process(newer, "update", handle, out, 100, now=600)
+    assert sorted((r.key, r.version) for r in book.results(newer, out).collect()) == [("a", 1), ("a", 2), ("b", 1)]
