@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from figcurate.session import spread
 
 #: Bound on the rated documents used to fit.
-MAX_RATED = 2000
+MAX_RATED = 1000
 MIN_DOCUMENTS = 3
 FOLDS = 5
 CLASSIC = ("flesch_kincaid", "gunning_fog", "smog", "coleman_liau", "automated")
