@@ -97,6 +97,10 @@ def consolidation_plan(small: DataFrame, targets_per_bucket: int = 4, min_small:
     )
 
 
+#: The name that the file format gives to null partition values (fixed value).
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 class Conflict(RuntimeError):
     """Another writer committed a snapshot after this one began."""
 
@@ -172,17 +176,28 @@ class SnapshotTable:
         )
 
     def compact(self, target_bytes: int, small_below: int | None = None, max_small: int = 1) -> dict[str, int]:
-        """Rewrite the crowded partitions only; returns the number of files now in each."""
+        """Rewrite the crowded partitions only, all in one job; returns the number of files now in each.
+
+        A partition gets as many files as its size asks for.  Rows are dealt to them by a hash of the whole row, so a task that
+        runs again deals them alike.
+        """
         base = self.version()
         before = self.files(base)
         parts = self.crowded(target_bytes // 2 if small_below is None else small_below, max_small)
-        changed: dict[str, dict[str, int]] = {}
-        for part in parts:
-            size = sum(before[part].values())
-            rows = self.read(base, [part])
-            changed.update(self._write(rows.repartition(max(1, -(-size // target_bytes)))))
-        if changed:
-            self._commit(base, changed, append=False)
+        if not parts:
+            return {}
+        wanted = [(part, max(1, -(-sum(before[part].values()) // target_bytes))) for part in parts]
+        counts = self.spark.createDataFrame(wanted, "_part string, _files bigint")
+        rows = self.read(base, parts)
+        # the folder of a row's partition, spelled as the writer spells it
+        folder = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(_NULL_PARTITION))) for c in self.partition_by))
+        dealt = rows.withColumn("_part", folder).join(F.broadcast(counts), "_part", "left")
+        salt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_files", F.lit(1)))
+        spread = dealt.withColumn("_salt", salt).repartition(sum(n for _, n in wanted), *self.partition_by, "_salt")
+        changed = self._write(spread.drop("_part", "_files", "_salt"))
+        if set(changed) != set(parts):
+            raise Conflict(f"wrote {sorted(set(changed) ^ set(parts))[:3]} besides or instead of what was read")
+        self._commit(base, changed, append=False)
         return {p: len(n) for p, n in changed.items()}
 
     def expire(self, keep: int = 1) -> int:

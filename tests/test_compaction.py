@@ -72,6 +72,17 @@ def test_only_crowded_partitions_are_rewritten(spark, tmp_path):
     assert sorted(r.id for r in table.read().collect()) == [*range(300), 1000]
 
 
+def test_partitions_get_as_many_files_as_they_need(spark, tmp_path):
+    table = C.SnapshotTable(spark, str(tmp_path), ["p", "q"])
+    rows = spark.range(20000).select("id", F.md5(F.col("id").cast("string")).alias("v"), F.when(F.col("id") < 19000, "big one").alias("p"), (F.col("id") % 2).alias("q"))
+    table.append(rows.repartition(6))
+    size = sum(table.files()["p=big one/q=0"].values())
+    done = table.compact(size // 3, size)
+    assert set(done) == {"p=big one/q=0", "p=big one/q=1", "p=__HIVE_DEFAULT_PARTITION__/q=0", "p=__HIVE_DEFAULT_PARTITION__/q=1"}
+    assert 2 <= done["p=big one/q=0"] <= 4 and done["p=__HIVE_DEFAULT_PARTITION__/q=0"] == 1
+    assert table.read().exceptAll(rows).count() == 0 and table.read().count() == 20000
+
+
 def test_conflicts_are_noticed(spark, tmp_path):
     table = make(spark, str(tmp_path))
     base = table.version()
