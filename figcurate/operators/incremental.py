@@ -113,12 +113,12 @@ class WorkLedger:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name in [*self.key, "version"])
 
     def _read(self, part: str, tokens: list[int], schema: str) -> DataFrame:
-        out = self.spark.createDataFrame([], schema + ", token bigint")
-        for token in tokens:
-            if self.files.exists(f"{self._part(part, token)}/_SUCCESS"):  # a run that died while writing counts for nothing
-                rows = self.spark.read.schema(schema).parquet(self._path(part, token))
-                out = out.unionByName(rows.withColumn("token", F.lit(token).cast("bigint")))
-        return out
+        whole = schema + ", token bigint"
+        # a run that died while writing counts for nothing
+        paths = [self._path(part, t) for t in tokens if self.files.exists(f"{self._part(part, t)}/_SUCCESS")]
+        if not paths:
+            return self.spark.createDataFrame([], whole)
+        return self.spark.read.schema(whole).option("basePath", self.files.path(part)).parquet(*paths)
 
     def _part(self, part: str, token: int) -> str:
         return f"{part}/token={token}"
@@ -206,11 +206,9 @@ class WorkLedger:
         schema = self._schema(items)
         latest = self._read("claims", tokens, schema).groupBy(on).agg(F.max("token").alias("token"))
         valid = latest.join(self._read("done", tokens, schema).distinct(), [*on, "token"], "left_semi")
-        rows = None
-        for token in tokens:
-            if Files(self.spark, output).exists(f"token={token}/_SUCCESS"):
-                part = self.spark.read.parquet(self.output_path(output, token)).withColumn("token", F.lit(token).cast("bigint"))
-                rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
-        if rows is None:
+        written = Files(self.spark, output)
+        paths = [self.output_path(output, t) for t in tokens if written.exists(f"token={t}/_SUCCESS")]
+        if not paths:
             return valid.limit(0)
-        return rows.join(valid, [*on, "token"], "left_semi")
+        rows = self.spark.read.option("basePath", output).option("mergeSchema", True).parquet(*paths)
+        return rows.withColumn("token", F.col("token").cast("bigint")).join(valid, [*on, "token"], "left_semi")

@@ -56,7 +56,11 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for work that costs far more than a shuffle of its input.
 
-    Only inputs of fewer partitions (few or small files) are dealt out anew; large ones stay as they were read.
+    Only inputs of fewer partitions (few or small files) are dealt out anew; large ones stay as they were read.  Plans with a
+    shuffle are left alone: their partitions are known only when they run.
     """
+    execution = df._jdf.queryExecution()
+    if "Exchange" in execution.executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df

@@ -212,3 +212,13 @@ def test_schema_helpers(spark):
     with pytest.raises(schemas.MissingColumns, match="x"):
         schemas.require(rows, ["i", "x"])
     assert schemas.unified([rows, rows.select("i")]).count() == 2
+
+
+def test_spread(spark):
+    from figcurate.session import spread
+
+    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(10).repartition(50)
+    assert spread(many) is many
+    grouped = spark.range(10).groupBy("id").count()
+    assert spread(grouped) is grouped
