@@ -89,6 +89,18 @@ _CODE_TAGS = frozenset("pre code tt samp kbd".split())
 _MATH_TAGS = frozenset("math mml:math tex-math inline-formula disp-formula mi mo mn msub msup mrow mfrac".split())
 _ITEM_TAGS = frozenset("li list-item dd dt".split())
 _CELL_TAGS = frozenset("td th tr table".split())
+#: Commands by what they do with their argument (fixed values); others are told apart by their shape only.
+_COMMANDS = {
+    name: kind
+    for kind, names in {
+        "content": "textbf textit emph underline text textrm textsc textsf texttt mbox mathrm mathbf mathit operatorname",
+        "heading": "section subsection subsubsection paragraph chapter caption title",
+        "reference": "cite citep citet ref eqref label footnote url includegraphics bibitem",
+        "structure": "begin end item centering hline noindent maketitle",
+        "symbol": "alpha beta gamma delta epsilon kappa lambda mu pi rho sigma tau omega pm times leq geq cdot degree",
+    }.items()
+    for name in names.split()
+}
 _GROUPS = {"head": _HEAD_TAGS, "code": _CODE_TAGS, "math": _MATH_TAGS, "item": _ITEM_TAGS, "cell": _CELL_TAGS}
 
 
@@ -157,7 +169,7 @@ def _class(char: str) -> str:
     return char if char in "<>=*_$&([{.,;:" else "other"
 
 
-_P_VALUE = re.compile(r"\s*[pP]\s*(?:[<>=≤]|&[lg]t;)")
+_P_VALUE = re.compile(r"\s*[pP](?:\s|[<>=≤]|&[lg]t;)")
 _WORDS = re.compile(r"[^\W\d_]{3,}")
 _MATHS = re.compile(r"[\\^_={}<>]")
 
@@ -186,7 +198,7 @@ def _context(leaf: Leaf, before: str, after: str) -> tuple:
         )
     if kind == "command":
         name = re.match(r"\\([A-Za-z]+)", text).group(1)
-        return (kind, name, "{" in text, leaf.ancestor)
+        return (kind, _COMMANDS.get(name, "other"), "{" in text, leaf.ancestor)
     if kind == "env":
         return (kind, re.match(r"\\begin\{(\w+)", text).group(1))
     if kind in ("bullet", "number", "quote"):
@@ -272,7 +284,7 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
                 lambda: [(m := r.choice(("''", "'''")), DROP), (w, PLAIN), (m, DROP)],
                 lambda: [(r.choice((f"[[{w}]]", f"[[target|{w}]]")), INLINE)],
                 lambda: [(f"{{{{cite journal |title={w} |year=2020}}}}", DROP)],
-                lambda: [(f"\\{r.choice(('textbf', 'emph', 'textit', 'underline', 'text', 'mathrm'))}{{{w}}}", INLINE)],
+                lambda: [(f"\\{r.choice(('textbf', 'emph', 'textit', 'underline', 'text', 'mathrm', 'textsc'))}{{{w}}}", INLINE)],
                 lambda: [(f"\\{''.join(r.choice('abcdefgh') for _ in range(6))}{{{w}}}", INLINE)],
                 lambda: [(f"\\{r.choice(('cite', 'ref', 'label', 'citep', 'footnote'))}{{key7}}", DROP)],
                 lambda: [("~", DROP), (f"\\{r.choice(('cite', 'ref'))}{{key7}}", DROP)],
