@@ -2,8 +2,9 @@
 
 Documents are measured in tokens of a public tokenizer and dealt by a hash of their id to shards of about ``SHARD`` documents,
 so that no source or group of copies makes a shard large.  Each shard holds its own BM25 inverted index.  The largest unused
-document opens a container as its seed; the index returns the unused documents most like it, which fill the container as long
-as they fit, and what room is left then goes to the largest unused documents that still fit.
+document opens a container as its seed; the index returns the unused documents of the shard most like it, which fill the
+container as long as they fit, the largest first, and what room is left then goes to the largest unused documents that still fit.
+Documents of other shards are never neighbours.
 
 A document is split only if it alone exceeds the capacity: into full containers and one remainder, which is packed like any
 other document.  Null and empty texts have no tokens; they lie in some container of their shard and take no room.
