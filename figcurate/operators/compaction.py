@@ -35,10 +35,15 @@ def distinct_files(files: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
+def root_of(stores: DataFrame, store: str) -> str:
+    """The folder that relative paths of ``store`` are taken from; the stores are a fixed list."""
+    roots = stores.where(F.col("store_name") == store).select("root_dir").limit(1).collect()  # one row of a fixed list
+    return roots[0].root_dir if roots else "/"
+
+
 def named_places(records: DataFrame, column: str, store: str, stores: DataFrame) -> DataFrame:
     """The places that ``column`` of ``records`` names in ``store`` (rows may repeat)."""
-    roots = stores.where(F.col("store_name") == store).select("root_dir").limit(1).collect()  # one row of a fixed list
-    place = ids.canonical_path(F.col(column), F.lit(roots[0].root_dir if roots else "/"))
+    place = ids.canonical_path(F.col(column), F.lit(root_of(stores, store)))
     return records.select(F.lit(store).alias("store_name"), place.alias("place")).where(F.col("place").isNotNull())
 
 

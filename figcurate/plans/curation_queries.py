@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from figcurate import schemas
 from figcurate.functions import ids, text
-from figcurate.operators import alignment, candidates, panels, recovery, resolve, summary
+from figcurate.operators import alignment, candidates, compaction, panels, recovery, resolve, summary
 from figcurate.plans.data_queries import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,10 +521,11 @@ def alignment_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
       (SELECT 1 FROM stored_files f WHERE f.stored_path = '/data/figstore/singlepanel/' || r.local_image_path)"""
 )
 def missing_image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _single(spark, sf_dir).select(
-        "record_id", F.concat(F.lit("/data/figstore/singlepanel/"), "local_image_path").alias("path")
-    )
-    return alignment.without_files(rows, "path", table(spark, sf_dir, "stored_files"), "stored_path").select("record_id")
+    """Compares places, however a path is written; the SQL, which is kept, compares spellings and so reports more."""
+    stores = table(spark, sf_dir, "store_targets")
+    place = ids.canonical_path(F.col("local_image_path"), F.lit(compaction.root_of(stores, "singlepanel")))
+    rows = _single(spark, sf_dir).select("record_id", place.alias("path"))
+    return alignment.without_files(rows, "path", compaction.distinct_files(table(spark, sf_dir, "stored_files"), stores), "place").select("record_id")
 
 
 # ----------------------------------------------------------------------------------------------------- recovery

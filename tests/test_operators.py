@@ -222,3 +222,20 @@ def test_spread(spark):
     assert spread(many) is many
     grouped = spark.range(10).groupBy("id").count()
     assert spread(grouped) is grouped
+
+
+def test_missing_image_files_however_written(spark, tmp_path):
+    from figcurate.plans import curation_queries
+
+    stores = [("singlepanel", "/data/one/"), ("subfigure", "/data/two/")]
+    files = [(1, "singlepanel", "/data/one/a/1.jpg"), (2, "singlepanel", "b//./2.jpg"), (3, "subfigure", "file:///data/two/3.jpg")]
+    paths = ["a/1.jpg", "/data/one/a/1.jpg", "./x/../b/2.jpg", "/data/two/3.jpg", "3.jpg", "/a/1.jpg", "", None]
+    tables = {
+        "store_targets": spark.createDataFrame(stores, "store_name string, root_dir string"),
+        "stored_files": spark.createDataFrame(files, "file_id bigint, store_name string, stored_path string").selectExpr("*", "1L AS n_bytes"),
+        "singlepanel_records": spark.createDataFrame(list(enumerate(paths)), "record_id bigint, local_image_path string"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = curation_queries.missing_image_files(spark, str(tmp_path))
+    assert sorted(r.record_id for r in found.collect()) == [4, 5, 6, 7]
