@@ -27,7 +27,8 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from figcurate.session import shared_checkpoint, spread
@@ -38,9 +39,8 @@ DENSE = 256
 FEW_FIRST, FEW = 8.0, 2.0
 #: Signatures keep 48 bits, which makes the rows shorter; chance meetings end at the first comparison.
 SHORTEN = np.uint64(16)
-#: Texts of more words meet on single bits, as combinations would be too many; texts of between ``similarity`` times as many and
-#: as many words meet in both ways, so that no pair of fitting sizes is parted.
-LONG = 256
+#: Size bands end at ``BAND_START`` times a power of ``BAND_RATIO`` words.
+BAND_START, BAND_RATIO, BANDS = 160, 4, 16
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,70 +144,94 @@ def least_shared(n: np.ndarray, similarity: float) -> np.ndarray:
     return -(-(n * share.numerator) // share.denominator)
 
 
-def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarity: float, depth: int) -> DataFrame:
-    """(no, n, signature): the pigeonholes in which texts meet, combinations of a text's first bits.
+def size_bands(n: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The band of each size, and the highest band that holds sizes it can be alike to: its own or the next."""
+    ends = BAND_START * BAND_RATIO ** np.arange(BANDS)
+    share = Fraction(similarity).limit_denominator(1000)
+    largest = n * share.denominator // share.numerator  # the longest text that can be alike
+    return np.searchsorted(ends, n), np.searchsorted(ends, largest)
+
+
+def band_sizes(classes: DataFrame, similarity: float) -> np.ndarray:
+    """How many texts take part in each size band; one number a band reaches the driver."""
+    ends = [BAND_START * BAND_RATIO**k for k in range(BANDS)]
+    share = Fraction(similarity).limit_denominator(1000)
 
-    A combination of bits, in their fixed order, is emitted as soon as few texts are expected to have it, or when it has
-    ``depth`` bits; otherwise it is extended by each later bit.  What is emitted depends on the rarity table alone, so two
-    texts that share ``depth`` of their first bits share the combination that their first shared bits begin.  A bit that only
-    one text sets leads to no meeting and is skipped.
+    def band(n: Column) -> Column:
+        return sum((F.when(n > end, 1).otherwise(0) for end in ends), F.lit(0))
+
+    n = F.col("n").cast("bigint")
+    own, last = band(n), band(F.floor(n * share.denominator / share.numerator))
+    rows = classes.select(F.explode(F.sequence(own, last)).alias("band")).groupBy("band").agg(F.count("*").alias("n")).collect()
+    out = np.zeros(BANDS + 1)
+    for row in rows:
+        out[row.band] = row.n
+    return out
+
+
+def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarity: float, depth: int) -> DataFrame:
+    """(no, n, signature): the pigeonholes in which texts meet, combinations of a text's first bits within a size band.
+
+    A combination of bits, in their fixed order, is emitted as soon as few texts of the band are expected to have it, or when
+    it has ``depth`` bits; otherwise it is extended by each later bit.  What is emitted depends on the rarity table and the
+    numbers of texts by band alone, so two texts that share ``depth`` of their first bits share the combination that their
+    first shared bits begin.  Long texts are fewer than short ones, so their bands are content with shorter combinations.
+    A text whose alike ones may lie in the next band emits there too.  A bit that only one text sets leads to no meeting and
+    is skipped.
     """
     schema = "no bigint, n int, signature bigint"
+    in_band = band_sizes(classes, similarity)
     shared = classes.sparkSession.sparkContext.broadcast(rarity.astype(np.float64))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count_of = shared.value
-        for batch in batches:
-            lists = batch.column(2)
-            sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
-            bits = np.asarray(lists.flatten()).view(np.uint64)
-            doc_no = np.repeat(np.arange(len(sizes)), sizes)
-            count = count_of[(bits & np.uint64(SLOTS - 1)).astype(np.int64)]
-            order = np.lexsort((bits, count, doc_no))
-            bits, count = bits[order], count[order]
-            starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            least = least_shared(sizes, similarity)
-            prefix = np.where(sizes <= LONG, np.minimum(sizes - least + depth, sizes), 0)
-            out_doc: list[np.ndarray] = []
-            out_sig: list[np.ndarray] = []
-
-            def extend(docs: np.ndarray, at: int, level: int, code: np.ndarray, expected: np.ndarray) -> None:
-                p = first.shape[1]
-                for c in range(at, p):
-                    now = expected * counts[docs, c] / n_classes
-                    live = counts[docs, c] > 1
-                    sig = _mix(code * _ODD + first[docs, c])
-                    enough = live & ((now <= (FEW_FIRST if level == 1 else FEW)) | (level == depth))
-                    if enough.any():
-                        out_doc.append(names[docs[enough]])
-                        out_sig.append(sig[enough])
-                    more = live & ~enough
-                    if c + 1 < p and more.any():
-                        extend(docs[more], c + 1, level + 1, sig[more], now[more])
-
-            with np.errstate(over="ignore"):
-                for p in np.unique(prefix[prefix > 0]):
-                    names = np.flatnonzero(prefix == p)
+        for whole in batches:
+            # a batch of long texts would make many rows at once
+            for at in range(0, len(whole), 1024):
+                yield combine(whole.slice(at, 1024), count_of)
+
+    def combine(batch: pa.RecordBatch, count_of: np.ndarray) -> pa.RecordBatch:
+        lists = batch.column(2)
+        sizes = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+        bits = np.asarray(lists.flatten()).view(np.uint64)
+        doc_no = np.repeat(np.arange(len(sizes)), sizes)
+        count = count_of[(bits & np.uint64(SLOTS - 1)).astype(np.int64)]
+        order = np.lexsort((bits, count, doc_no))
+        bits, count = bits[order], count[order]
+        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        prefix = np.minimum(sizes - least_shared(sizes, similarity) + depth, sizes)
+        own, last = size_bands(sizes, similarity)
+        out_doc: list[np.ndarray] = []
+        out_sig: list[np.ndarray] = []
+
+        def extend(docs: np.ndarray, at: int, level: int, code: np.ndarray, expected: np.ndarray) -> None:
+            p = first.shape[1]
+            for c in range(at, p):
+                now = expected * counts[docs, c] / n_classes
+                live = counts[docs, c] > 1
+                sig = _mix(code * _ODD + first[docs, c])
+                enough = live & ((now <= (FEW_FIRST if level == 1 else FEW)) | (level == depth))
+                if enough.any():
+                    out_doc.append(names[docs[enough]])
+                    out_sig.append(sig[enough])
+                more = live & ~enough
+                if c + 1 < p and more.any():
+                    extend(docs[more], c + 1, level + 1, sig[more], now[more])
+
+        with np.errstate(over="ignore"):
+            for band in range(int(own.min(initial=0)), int(last.max(initial=-1)) + 1):
+                inside = (own <= band) & (band <= last)
+                for p in np.unique(prefix[inside & (prefix > 0)]):
+                    names = np.flatnonzero(inside & (prefix == p))
                     place = starts[names][:, None] + np.arange(p)
                     first, counts = bits[place], count[place]
-                    extend(
-                        np.arange(len(names)), 0, 1, np.zeros(len(names), dtype=np.uint64), np.full(len(names), float(n_classes))
-                    )
-                # long texts: every bit among the first ones that another text sets too
-                long = sizes >= least_shared(np.array([LONG]), similarity)[0]
-                at = np.arange(len(bits)) - np.repeat(starts, sizes)
-                single = np.repeat(long, sizes) & (at < np.repeat(sizes - least + 1, sizes)) & (count > 1)
-                out_doc.append(np.repeat(np.arange(len(sizes)), sizes)[single])
-                out_sig.append(_mix(bits[single] ^ _ODD))
-            which = np.concatenate(out_doc) if out_doc else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(which)),
-                    batch.column(1).take(pa.array(which)),
-                    pa.array((np.concatenate(out_sig) >> SHORTEN).view(np.int64) if out_sig else np.zeros(0, dtype=np.int64)),
-                ],
-                names=["no", "n", "signature"],
-            )
+                    code = np.full(len(names), band, dtype=np.uint64)
+                    extend(np.arange(len(names)), 0, 1, code, np.full(len(names), in_band[band]))
+        which = np.concatenate(out_doc) if out_doc else np.zeros(0, dtype=np.int64)
+        sig = (np.concatenate(out_sig) >> SHORTEN).view(np.int64) if out_sig else np.zeros(0, dtype=np.int64)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(which)), batch.column(1).take(pa.array(which)), pa.array(sig)], names=["no", "n", "signature"]
+        )
 
     return classes.select("no", "n", "bits").mapInArrow(run, schema)
 
@@ -245,13 +269,15 @@ def near_duplicate_classes(
     n_classes = classes.count()
     holes = signatures(classes, bit_rarity(classes), max(1, n_classes), similarity, depth)
     share = Fraction(similarity).limit_denominator(1000)
+    # Spark cannot know how many rows the pigeonholes are or how long lists of bits, so the joins are told never to broadcast
+    holes = holes.hint("merge")
     a, b = holes.alias("a"), holes.alias("b")
     fits = F.least("a.n", "b.n") * share.denominator >= F.greatest("a.n", "b.n") * share.numerator
     meet = a.join(b, (F.col("a.signature") == F.col("b.signature")) & (F.col("a.no") < F.col("b.no")) & fits)
     candidates = meet.select(F.col("a.no").alias("no_a"), F.col("b.no").alias("no_b")).distinct()
 
     def side(x: str, *columns: str) -> DataFrame:
-        return classes.select(*(F.col(c).alias(f"{c}_{x}") for c in ("no", *columns)))
+        return classes.select(*(F.col(c).alias(f"{c}_{x}") for c in ("no", *columns))).hint("merge")
 
     sketch = ("n", "s0", "s1", "s2", "s3")
     needed = F.ceil(F.greatest("n_a", "n_b") * share.numerator / share.denominator)
@@ -273,8 +299,8 @@ def near_duplicate_classes(
 
 def near_duplicate_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b: all pairs of ids with alike texts, including equal ones, each once."""
-    a = members.select(F.col("id").alias("x"), F.col("doc").alias("doc_a"))
-    b = members.select(F.col("id").alias("y"), F.col("doc").alias("doc_b"))
+    a = members.select(F.col("id").alias("x"), F.col("doc").alias("doc_a")).hint("merge")
+    b = members.select(F.col("id").alias("y"), F.col("doc").alias("doc_b")).hint("merge")
     across = links.join(a, "doc_a").join(b, "doc_b").select("x", "y")
     same = a.join(b, F.col("doc_a") == F.col("doc_b")).where(F.col("x") < F.col("y")).select("x", "y")
     both = across.unionByName(same).where(F.col("x") != F.col("y"))
@@ -286,6 +312,6 @@ def duplicate_summary(members: DataFrame, links: DataFrame) -> DataFrame:
     sizes = members.groupBy("doc").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     ends = links.select(F.explode(F.array("doc_a", "doc_b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_links"))
     return (
-        members.join(sizes, "doc").join(ends, "doc", "left")
+        members.join(sizes.hint("merge"), "doc").join(ends.hint("merge"), "doc", "left")
         .select("id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
     )
