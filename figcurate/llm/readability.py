@@ -1,23 +1,23 @@
-"""Reading level of documents: classic readability formulas and word familiarity, combined by a weighted median.
+"""Reading level of documents: classic readability formulas, combined by their median.
 
-Every document gets six grade estimates: Flesch–Kincaid, Gunning fog, SMOG, Coleman–Liau and automated readability index from
-its sentences, words, letters and syllables (counted with hyphenation-style rules), and a word-familiarity grade in the manner
-of Dale and Chall, whose word grades are learned from rated documents.  Each raw estimate is put on the raters' scale by
-interpolation between its medians at the rated grades, and the estimates are combined by their median, weighted by the inverse
-square of each one's mean squared error on ratings held out of the fit (squared, as the classic formulas share their errors and
-would otherwise outvote a better estimate together).
+Every document gets five grade estimates from its sentences, words and syllables (counted with hyphenation-style rules):
+Flesch–Kincaid, Gunning fog, SMOG, FORCAST and Powers–Sumner–Kearl.  Each is put on the raters' scale by interpolation between
+its medians at the rated grades, and the level is the plain median of the five.
+
+Two rules keep the formulas from being fooled.  Abbreviations and names made of capitals or digits are read letter by letter,
+as they are spoken (``FACS`` and ``IC50`` have four syllables each), so that jargon of short signs is not taken for easy words.
+The mean length of sentences is taken within ``SENTENCE_WORDS``, as lengths beyond tell of missing or stray full stops.
 
 Fitting reads at most ``MAX_RATED`` rated documents (those with the smallest hash of their id).  Scoring reads every text in
 whole: a batch is split at spaces, each distinct token is analysed once, and documents are sums over their tokens.
 
 Null, empty and blank texts have no words and the level null.  Several ratings of one document count as their median; ratings
-of unknown documents are ignored; without any ratings the classic formulas are taken as school grades, three to a level.
+of unknown documents are ignored; without any ratings the formulas are taken as school grades, three to a level.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,31 +31,39 @@ from figcurate.session import spread
 
 #: Bound on the rated documents used to fit.
 MAX_RATED = 1000
-MIN_DOCUMENTS = 3
-FOLDS = 5
-CLASSIC = ("flesch_kincaid", "gunning_fog", "smog", "coleman_liau", "automated")
-ESTIMATES = (*CLASSIC, "familiarity")
+#: Mean words of a sentence that the formulas are given at least and at most.
+SENTENCE_WORDS = (8.0, 25.0)
+CLASSIC = ("flesch_kincaid", "gunning_fog", "smog", "forcast", "powers_sumner_kearl")
+#: Least share of English function words among the words of an English text.
+ENGLISH_SHARE = 0.05
 
-#: Frequent function words by language (fixed values).
+#: Frequent function words by language (fixed values); a word of several languages counts for each.
 FUNCTION_WORDS = {
-    "en": "the of and to in is was were that for with by from are this it on at be as an which who not they their has have "
-    "had after before when you your we she he if can than or near did does said about there every",
-    "fr": "le la les des du une et est dans pour que qui sur avec pas par au aux ce cette sont ont été plus ne se nous vous "
-    "elle ils leur après avant chez",
-    "de": "der die das und ist nicht mit von den dem des ein eine einer einem einen zu im am auf für wurde werden sich auch "
-    "nach bei aus oder wird sind wenn durch vor über",
-    "es": "el los las del y es una en por con para que se su al como más pero sus fue está son han después antes entre cuando "
-    "sobre muy sin lo un",
+    "en": "the of and to in is was were that for with by from are this it on at be as which who not they has have had your we",
+    "fr": "le la les des du une et est dans pour que qui sur avec pas par au cette sont ont plus",
+    "de": "der die das und ist nicht mit von den dem des ein eine zu im am auf wurde sich in was",
+    "es": "el los las del y es una en por con para que se su al como más fue la de",
+    "nl": "de het een van en is in was niet met voor op aan dat bij zijn door naar te om uit ook worden wordt",
+    "it": "il lo la gli di che e è del della nel un una con per non sono dei alla si al da in i le",
+    "pt": "o os da do das dos e em um uma não com por para que se foi são ao na no de",
+    "sv": "och att det som en på är av för med den till inte om var ett han de har vid i",
 }
-_LANGUAGE = {w: k for k, (_, ws) in enumerate(FUNCTION_WORDS.items()) for w in ws.split()}
+_LANGUAGES: dict[str, list[int]] = {}
+for _k, _names in enumerate(FUNCTION_WORDS.values()):
+    for _name in _names.split():
+        _LANGUAGES.setdefault(_name, []).append(_k)
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_SPOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _END = re.compile(r"[.!?]+[\"')\]”’]*(?=\s|$)")
 _GROUP = re.compile(r"[aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüœ]+")
 
 
 def syllables(word: str) -> int:
-    """Vowel groups, less a silent final e (also in -es, -ed), plus a hiatus as in -ia-, -io- outside -tion and -sion; one at least."""
+    """Vowel groups, less a silent final e (also in -es, -ed), plus a hiatus; one at least.
+
+    A hiatus is -ia-, -io- outside -tion and -sion, -ua- outside -qua- and -gua-, and a final -ea after another vowel group.
+    """
     total = 0
     for part in re.split(r"['’-]", word.lower()):
         n = len(_GROUP.findall(part))
@@ -64,45 +72,52 @@ def syllables(word: str) -> int:
                 n -= 1
             elif re.search(r"[^aeiouytd]ed$|[^aeiouysxzcg]es$", part):
                 n -= 1
+            elif part.endswith(("ea", "eas")):
+                n += 1
         n += len(re.findall(r"(?<![tscgx])i(?:a|o|u)(?!u)|(?<![qg])ua", part))
         total += max(n, 1) if part else 0
     return max(total, 1)
 
 
-# columns of a token's analysis
-WORDS, SYLLABLES, LETTERS, POLY, ENDS, GRADE, WEIGHT, LATIN, OTHER = range(9)
-TALLY = 9
+def spoken_syllables(word: str) -> int:
+    """As ``syllables``; parts with digits, with capitals after the first letter or without a vowel are read letter by letter."""
+    total = 0
+    for part in re.split(r"['’-]", word):
+        spelled = any(c.isdigit() for c in part) or part[1:] != part[1:].lower() or not _GROUP.search(part.lower())
+        total += len(part) if spelled else syllables(part)
+    return max(total, 1)
+
+
+# columns of a token's analysis: ``WORDS`` are made of letters, ``SPOKEN`` also of digits if they hold a letter
+WORDS, SPOKEN, SYLLABLES, SINGLE, POLY, ENDS, LATIN, OTHER = range(8)
+TALLY = 8
 WIDTH = TALLY + len(FUNCTION_WORDS)
 
 
 @dataclass
 class Model:
-    """Word grades, calibration points and weights; plain data, shipped with the closure."""
+    """Calibration points; plain data, shipped with the closure."""
 
-    grades: dict[str, tuple[float, float]] = field(default_factory=dict)
     points: dict[str, tuple[list[float], list[float]]] = field(default_factory=dict)
-    weights: dict[str, float] = field(default_factory=dict)
 
 
-def analyse(token: str, grades: dict[str, tuple[float, float]]) -> np.ndarray:
+def analyse(token: str) -> np.ndarray:
     """The tallies of one token, which may hold several words if it has other white space than the space."""
     out = np.zeros(WIDTH)
     for m in _WORD.finditer(token):
         word = m.group()
-        lower = word.lower()
-        n = syllables(word)
         out[WORDS] += 1
-        out[SYLLABLES] += n
-        out[LETTERS] += len(word)
-        out[POLY] += n >= 3
         out[LATIN if word[0] < "ɐ" else OTHER] += len(word)
-        for part in re.split(r"['’-]", lower):
-            if part in grades:
-                grade, weight = grades[part]
-                out[GRADE] += grade * weight
-                out[WEIGHT] += weight
-        if lower in _LANGUAGE:
-            out[TALLY + _LANGUAGE[lower]] += 1
+        for k in _LANGUAGES.get(word.lower(), ()):
+            out[TALLY + k] += 1
+    for m in _SPOKEN.finditer(token):
+        word = m.group()
+        if not word.isdigit():
+            n = spoken_syllables(word)
+            out[SPOKEN] += 1
+            out[SYLLABLES] += n
+            out[SINGLE] += n == 1
+            out[POLY] += n >= 3
     out[ENDS] = len(_END.findall(token))
     return out
 
@@ -110,8 +125,8 @@ def analyse(token: str, grades: dict[str, tuple[float, float]]) -> np.ndarray:
 class Analyser:
     """Tallies of Arrow string arrays; remembers the tokens it has seen."""
 
-    def __init__(self, grades: dict[str, tuple[float, float]], memory: int = 400_000):
-        self.grades, self.memory, self.seen = grades, memory, {}
+    def __init__(self, memory: int = 400_000):
+        self.memory, self.seen = memory, {}
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         texts = pc.fill_null(texts.cast(pa.string()), "")
@@ -122,7 +137,7 @@ class Analyser:
             if token not in self.seen:
                 if len(self.seen) >= self.memory:
                     self.seen.clear()
-                self.seen[token] = analyse(token, self.grades)
+                self.seen[token] = analyse(token)
             rows.append(self.seen[token])
         table = np.array(rows).reshape(-1, WIDTH)
         numbers = np.asarray(coded.indices).astype(np.int64)
@@ -134,64 +149,32 @@ class Analyser:
 
 
 def raw_estimates(tally: np.ndarray) -> dict[str, np.ndarray]:
-    """The six estimates of documents with at least one word, before calibration (constants as published)."""
-    words = np.maximum(tally[:, WORDS], 1)
-    sentences = np.maximum(tally[:, ENDS], 1)
-    length, per_word = words / sentences, tally[:, SYLLABLES] / words
-    letters = tally[:, LETTERS] / words
-    weight = tally[:, WEIGHT]
+    """The estimates of documents with at least one word, before calibration (constants as published)."""
+    words = np.maximum(tally[:, SPOKEN], 1)
+    length = np.clip(words / np.maximum(tally[:, ENDS], 1), *SENTENCE_WORDS)
+    per_word, poly = tally[:, SYLLABLES] / words, tally[:, POLY] / words
     return {
         "flesch_kincaid": 0.39 * length + 11.8 * per_word - 15.59,
-        "gunning_fog": 0.4 * (length + 100 * tally[:, POLY] / words),
-        "smog": 1.0430 * np.sqrt(30 * tally[:, POLY] / sentences) + 3.1291,
-        "coleman_liau": 5.88 * letters - 29.6 / length - 15.8,
-        "automated": 4.71 * letters + 0.5 * length - 21.43,
-        "familiarity": np.where(weight > 0, tally[:, GRADE] / np.maximum(weight, 1e-12), np.nan),
-    }
-
-
-def _word_grades(texts: list[str], levels: np.ndarray) -> dict[str, tuple[float, float]]:
-    """Shrunken mean grade of the documents that hold a word, and its precision; words of at least three documents."""
-    n, total, square = Counter(), Counter(), Counter()
-    for text, level in zip(texts, levels, strict=True):
-        for word in {p for m in _WORD.findall(text.lower()) for p in re.split(r"['’-]", m) if p}:
-            n[word] += 1
-            total[word] += level
-            square[word] += level * level
-    mean = float(np.mean(levels))
-    return {
-        w: ((total[w] + 2 * mean) / (k + 2), 1 / (max(square[w] / k - (total[w] / k) ** 2, 0.0) + 0.25))
-        for w, k in n.items()
-        if k >= MIN_DOCUMENTS
+        "gunning_fog": 0.4 * (length + 100 * poly),
+        "smog": 1.0430 * np.sqrt(30 * poly * length) + 3.1291,
+        "forcast": 20 - 15 * tally[:, SINGLE] / words,
+        "powers_sumner_kearl": 0.0778 * length + 4.55 * per_word - 2.2029,
     }
 
 
 def fit(texts: list[str], levels: list[float]) -> Model:
-    """Word grades, calibration and weights from rated texts; the last two from folds that the word grades were not fitted on."""
+    """The median of each estimate at each rated grade; estimates that do not tell the grades apart get no points."""
     model = Model()
     if not texts:
         return model
-    y = np.array(levels, dtype=float)
-    array = pa.array(texts, type=pa.string())
-    raw = {name: np.full(len(y), np.nan) for name in ESTIMATES}
-    fold = np.arange(len(y)) % FOLDS
-    for k in range(FOLDS):
-        inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        grades = _word_grades([texts[i] for i in inside], y[inside]) if len(inside) else {}
-        if len(outside):
-            for name, value in raw_estimates(Analyser(grades)(array.take(pa.array(outside)))).items():
-                raw[name][outside] = value
-    steps = np.round(y)
-    for name, value in raw.items():
-        known = ~np.isnan(value)
+    steps = np.round(np.array(levels, dtype=float))
+    tally = Analyser()(pa.array(texts, type=pa.string()))
+    known = tally[:, WORDS] > 0
+    for name, value in raw_estimates(tally).items():
         points = [(float(np.median(value[known & (steps == g)])), float(g)) for g in np.unique(steps[known])]
         xs = np.maximum.accumulate([x for x, _ in points]) if points else np.zeros(0)
-        if len(points) < 2 or xs[0] == xs[-1]:
-            continue
-        model.points[name] = ([float(x) for x in xs], [g for _, g in points])
-        error = on_scale(value[known], *model.points[name]) - y[known]
-        model.weights[name] = 1 / (float(np.mean(error**2)) + 0.01) ** 2
-    model.grades = _word_grades(texts, y)
+        if len(points) >= 2 and xs[0] != xs[-1]:
+            model.points[name] = ([float(x) for x in xs], [g for _, g in points])
     return model
 
 
@@ -202,23 +185,12 @@ def on_scale(values: np.ndarray, xs: list[float], ys: list[float]) -> np.ndarray
     return np.clip(inside + slope * (np.minimum(values - xs[0], 0) + np.maximum(values - xs[-1], 0)), 1, 5)
 
 
-def weighted_median(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """By row; nan values have no weight; nan where no value is known."""
-    weights = np.where(np.isnan(values), 0.0, weights)
-    order = np.argsort(np.where(np.isnan(values), np.inf, values), axis=1)
-    ranked, share = np.take_along_axis(values, order, 1), np.cumsum(np.take_along_axis(weights, order, 1), axis=1)
-    at = np.argmax(share >= share[:, -1:] / 2, axis=1)
-    return np.where(share[:, -1] > 0, ranked[np.arange(len(values)), at], np.nan)
-
-
-def calibrated(model: Model, tally: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Calibrated estimates by document and their weights; without a fit, three school grades make a level."""
+def calibrated(model: Model, tally: np.ndarray) -> np.ndarray:
+    """Calibrated estimates by document; without a fit, three school grades make a level."""
     raw = raw_estimates(tally)
-    names = [n for n in ESTIMATES if n in model.points]
-    if not names:
-        return np.stack([np.clip(raw[n] / 3, 1, 5) for n in CLASSIC], axis=1), np.ones(len(CLASSIC))
-    values = [np.where(np.isnan(raw[n]), np.nan, on_scale(np.nan_to_num(raw[n]), *model.points[n])) for n in names]
-    return np.stack(values, axis=1), np.array([model.weights[n] for n in names])
+    if not model.points:
+        return np.stack([np.clip(raw[n] / 3, 1, 5) for n in CLASSIC], axis=1)
+    return np.stack([on_scale(raw[n], *model.points[n]) for n in CLASSIC if n in model.points], axis=1)
 
 
 def rated_sample(documents: DataFrame, labels: DataFrame, bound: int = MAX_RATED) -> tuple[list[str], list[float]]:
@@ -240,22 +212,21 @@ def rated_sample(documents: DataFrame, labels: DataFrame, bound: int = MAX_RATED
 def reading_levels(documents: DataFrame, labels: DataFrame, bound: int = MAX_RATED) -> DataFrame:
     """(doc_id, n_words, is_english, grade double, level int) of every document.
 
-    A text is English if it has more English function words than those of any other language known here and is mostly in the
-    Latin script; if it has none of any, the ``lang`` column decides.
+    A text is English if English function words are at least ``ENGLISH_SHARE`` of its words and more than those of any other
+    language known here, and it is mostly in the Latin script; if it has none of any, the ``lang`` column decides.
     """
     model = fit(*rated_sample(documents, labels, bound))
     schema = "doc_id bigint, n_words bigint, is_english boolean, grade double, level int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        analyser = Analyser(model.grades)
+        analyser = Analyser()
         for batch in batches:
             tally = analyser(batch.column(1))
-            values, weights = calibrated(model, tally)
-            grade = weighted_median(values, np.broadcast_to(weights, values.shape))
-            grade = np.where(tally[:, WORDS] > 0, grade, np.nan)
+            grade = np.where(tally[:, WORDS] > 0, np.median(calibrated(model, tally), axis=1), np.nan)
             by_language = tally[:, TALLY:]
             said = np.array([str(x or "").strip().lower()[:2] == "en" for x in batch.column(2).to_pylist()], dtype=bool)
-            english = np.where(by_language.sum(1) > 0, by_language[:, 0] > by_language[:, 1:].max(1), said)
+            most = (by_language[:, 0] > by_language[:, 1:].max(1)) & (by_language[:, 0] >= ENGLISH_SHARE * tally[:, WORDS])
+            english = np.where(by_language.sum(1) > 0, most, said)
             english &= (tally[:, WORDS] > 0) & (tally[:, LATIN] >= tally[:, OTHER])
             unknown = np.isnan(grade)
             level = np.clip(np.floor(np.where(unknown, 0, grade) + 0.5), 1, 5).astype(np.int32)
