@@ -41,6 +41,8 @@ FEW_FIRST, FEW = 8.0, 2.0
 SHORTEN = np.uint64(16)
 #: Size bands end at ``BAND_START`` times a power of ``BAND_RATIO`` words.
 BAND_START, BAND_RATIO, BANDS = 160, 4, 16
+#: Words whose combinations are made at once.
+WORDS_AT_ONCE = 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,9 +188,11 @@ def signatures(classes: DataFrame, rarity: np.ndarray, n_classes: int, similarit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count_of = shared.value
         for whole in batches:
-            # a batch of long texts would make many rows at once
-            for at in range(0, len(whole), 1024):
-                yield combine(whole.slice(at, 1024), count_of)
+            # long texts make many rows at once: a batch is cut where its words reach a bound
+            words = np.cumsum(np.asarray(pc.list_value_length(whole.column(2))).astype(np.int64))
+            ends = np.flatnonzero(np.diff(words // WORDS_AT_ONCE, append=-1)) + 1
+            for start, end in zip([0, *ends[:-1]], ends, strict=True):
+                yield combine(whole.slice(int(start), int(end - start)), count_of)
 
     def combine(batch: pa.RecordBatch, count_of: np.ndarray) -> pa.RecordBatch:
         lists = batch.column(2)

@@ -78,12 +78,12 @@ def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cut(spark, sf_dir).select("record_id")
+    return truncation.with_copies(_cut(spark, sf_dir)).select("record_id")
 
 
 def p7_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions, captions = _generated_values(spark, sf_dir)
-    return truncation.truncation_rates(predictions.unionByName(captions), _cut(spark, sf_dir))
+    return truncation.truncation_rates(predictions.unionByName(captions), truncation.with_copies(_cut(spark, sf_dir)))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
