@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figcurate.operators import compaction, incremental
+from figcurate.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,34 @@ def p1_work_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.work_items(records, ledger, runs).withColumn("token", F.col("token").cast("bigint"))
 
 
+def p1_ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a work ledger over the records as they land: one that succeeds, one that dies, its successor, and its late return.
+
+    The first run sees what landed in the first half of the time, the others everything.  Each figure's versions come out once,
+    under the token of the run whose output counts.
+    """
+    records = table(spark, sf_dir, "singlepanel_records")
+    ends = records.agg(*(f("landed_at").cast("timestamp").alias(n) for n, f in (("a", F.min), ("b", F.max))))
+    middle = ends.select(F.expr("timestamp_micros((unix_micros(a) + unix_micros(b)) div 2)")).scalar()
+    early = records.where(F.col("landed_at").cast("timestamp") <= middle)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    book, output = incremental.WorkLedger(spark, f"{folder}/book", ["pmcid", "figure_id"]), f"{folder}/output"
+    items = incremental.current_figures(records)
+
+    def handle(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("figure", F.concat_ws("/", "pmcid", "figure_id"))
+
+    book.process_landed(early, incremental.current_figures, "first", handle, output, 60, now=0)
+    lost, taken = book.claim_landed(records, incremental.current_figures, "dies", 60, now=100)
+    handle(taken).write.mode("overwrite").parquet(book.output_path(output, lost))
+    book.process_landed(records, incremental.current_figures, "next", handle, output, 60, now=200)
+    with contextlib.suppress(incremental.StaleToken):
+        book.complete(lost, taken, now=201)
+    book.compact(items, now=300)
+    book.process_landed(records, incremental.current_figures, "again", handle, output, 60, now=301)
+    return book.results(items, output).select("pmcid", "figure_id", "version", "figure", "token")
+
+
 def _small(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, stores = table(spark, sf_dir, "stored_files"), table(spark, sf_dir, "store_targets")
     single = table(spark, sf_dir, "singlepanel_records")
@@ -49,6 +80,7 @@ def p2_crowded_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_work_states": p1_work_states,
+    "p1_ledger_runs": p1_ledger_runs,
     "p2_found": p2_found,
     "p2_crowded_partitions": p2_crowded_partitions,
     "p2_consolidation_plan": p2_consolidation_plan,
@@ -108,6 +140,15 @@ named AS (
 SQL: dict[str, str] = {
     "p1_found": f"WITH {_FIGURES} SELECT pmcid, figure_id FROM items WHERE state <> 'done'",
     "p1_work_states": f"WITH {_FIGURES} SELECT pmcid, figure_id, version, state, token FROM items",
+    "p1_ledger_runs": f"""WITH rows_ AS (
+      SELECT {_PMCID.format("pmcid")} AS pmcid, nullif(trim(figure_id), '') AS figure_id, landed_at,
+             {_VERSION.format("coalesce(nullif(trim(resolved_article_version), ''), article_version)")} AS version FROM singlepanel_records),
+    half AS (SELECT make_timestamp((epoch_us(min(landed_at)) + epoch_us(max(landed_at))) // 2) AS at FROM singlepanel_records),
+    early AS (SELECT pmcid, figure_id, max(version) AS version FROM rows_, half WHERE landed_at <= half.at GROUP BY 1, 2),
+    whole AS (SELECT pmcid, figure_id, max(version) AS version FROM rows_ GROUP BY 1, 2),
+    runs AS (SELECT *, 1 AS token FROM early UNION ALL SELECT *, 3 AS token FROM (SELECT * FROM whole EXCEPT SELECT * FROM early))
+    SELECT pmcid, figure_id, version, pmcid || '/' || figure_id AS figure, CAST(token AS BIGINT) AS token FROM runs
+    WHERE pmcid IS NOT NULL AND figure_id IS NOT NULL""",
     "p2_found": f"""WITH {_SMALL}
       SELECT f.file_id FROM files f WHERE f.n_bytes > 0 AND f.n_bytes < f.small_below_bytes
       AND EXISTS (SELECT 1 FROM named n WHERE n.store_name = f.store_name AND n.place = f.place)""",

@@ -112,3 +112,70 @@ def test_results_survive_failures_and_stale_writers(spark, tmp_path):
     newer = items.where("key = 'a'").withColumn("version", F.lit(2).cast("bigint")).unionByName(items.where("key = 'b'"))
     book.process(newer, "update", handle, out, 100, now=600)
     assert sorted((r.key, r.version) for r in book.results(newer, out).collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_null_versions_are_handled_once(spark, tmp_path):
+    items = spark.createDataFrame([("a", None), (None, 1), ("b", 2)], "key string, version bigint")
+    book, out = inc.WorkLedger(spark, str(tmp_path / "book"), ["key"]), str(tmp_path / "out")
+    first, taken = book.claim(items, "one", 100, now=0)
+    assert taken.count() == 3 and book.claim(items, "two", 100, now=1)[1].count() == 0  # one holder at a time
+    third = book.process(items, "three", lambda rows: rows, out, 100, now=200)
+    with pytest.raises(inc.StaleToken):
+        book.complete(first, taken, now=201)
+    assert book.process(items, "four", lambda rows: rows, out, 100, now=400) is None
+    assert sorted((repr(r.key), repr(r.version), r.token) for r in book.results(items, out).collect()) == sorted(
+        (repr(k), repr(v), third) for k, v in (("a", None), (None, 1), ("b", 2))
+    )
+    assert {r.state for r in book.states(items, now=500).collect()} == {"done"}
+
+
+def landed(spark, rows):
+    return spark.createDataFrame(rows, "key string, version bigint, day int").selectExpr("key", "version", "timestamp_seconds(day * 86400) AS landed_at")
+
+
+def newest(rows):
+    return rows.groupBy("key").agg(F.max("version").alias("version"))
+
+
+def test_only_what_landed_is_read_and_claims_fold(spark, tmp_path):
+    book, out = inc.WorkLedger(spark, str(tmp_path / "book"), ["key"]), str(tmp_path / "out")
+    day1 = [("a", 1, 1), ("b", None, 1), ("c", 5, 1)]
+    read = []
+
+    def items(rows):
+        read.append(rows.count())
+        return newest(rows)
+
+    run = lambda rows, now, **more: book.process_landed(landed(spark, rows), items, "r", lambda x: x, out, 100, now=now, **more)
+    assert run(day1, 0) == 1
+    day2 = [*day1, ("a", 2, 2), ("c", 4, 2), ("d", 1, 2)]  # c comes again in an older version
+    lost, taken = book.claim_landed(landed(spark, day2), items, "dies", 100, now=10)
+    assert sorted((r.key, r.version) for r in taken.collect()) == [("a", 2), ("d", 1)] and read == [3, 3]
+    assert run(day2, 50) is None  # leased
+    assert book.compact(taken, now=60) == 0  # the first lease has not ended
+    day3 = [*day2, ("d", 2, 3)]
+    token = run(day3, 200)
+    assert read[-1] == 1
+    got = {(r.key, r.version, r.token) for r in book.results(taken, out).collect()}
+    assert got == {("a", 1, 1), ("b", None, 1), ("c", 5, 1), ("a", 2, token), ("d", 2, token)}
+    assert book.compact(taken, now=400) >= token
+    with pytest.raises(inc.StaleToken):
+        book.complete(lost, taken, now=401)
+    assert {(r.key, r.version, r.token) for r in book.results(taken, out).collect()} == got
+    assert run(day3, 500) is None and read[-1] == 0
+    assert run([*day3, ("b", None, 1), ("e", 1, 2)], 600) is None  # landed too late for what is read ...
+    assert run([*day3, ("b", None, 1), ("e", 1, 2)], 700, late_seconds=2 * 86400) is not None  # ... unless it is allowed for
+    assert run([("f", 1, None)], 800) is not None and run([("f", 1, None)], 900) is None
+
+
+def test_a_late_writer_yields_to_a_claim_under_way(spark, tmp_path):
+    items = spark.createDataFrame([("a", 1)], "key string, version bigint")
+    book = inc.WorkLedger(spark, str(tmp_path), ["key"])
+    first, taken = book.claim(items, "one", 100, now=0)
+    book._new_token({"holder": "two", "lease_until": 500}, 200)  # its claims are not written yet
+    with pytest.raises(inc.StaleToken):
+        book.complete(first, taken, now=201)
+    book.fail(first)
+    book.fail(first)
+    with pytest.raises(inc.StaleToken):
+        book.complete(first, taken, now=50)
