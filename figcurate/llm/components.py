@@ -104,6 +104,18 @@ def connected_pairs(components: DataFrame) -> DataFrame:
     return left.join(right, "component").where(F.col("pmcid_a") < F.col("pmcid_b")).select("pmcid_a", "pmcid_b")
 
 
+#: Parts into which the records of one article or group are dealt where they are joined, as one may hold a third of them.
+SALTS = 32
+
+
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")
+
+
+def _salts() -> Column:
+    return F.array(*map(F.lit, range(SALTS)))
+
+
 def record_groups(records: DataFrame) -> DataFrame:
     """(record_id, group_id): records connected by a chain of shared articles and parent images have the same group.
 
@@ -126,8 +138,9 @@ def record_groups(records: DataFrame) -> DataFrame:
         )
         .unionByName(rows.where(F.col("article").isNull() & F.col("image").isNull()).select("record_id", none.alias("anchor")))
     )
-    components = article_components(records).withColumnRenamed("node", "anchor")
-    return anchored.join(components, "anchor", "left").select("record_id", F.coalesce("component", "anchor").alias("group_id"))
+    components = article_components(records).select(F.col("node").alias("anchor"), "component", F.explode(_salts()).alias("salt"))
+    salted = anchored.withColumn("salt", _salt())
+    return salted.join(components, ["anchor", "salt"], "left").select("record_id", F.coalesce("component", "anchor").alias("group_id"))
 
 
 def assign_splits(groups: DataFrame, targets: DataFrame, seed: int = 0, large: float = 0.002, buckets: int = 256) -> DataFrame:
@@ -167,5 +180,35 @@ def assign_splits(groups: DataFrame, targets: DataFrame, seed: int = 0, large: f
     name = F.lit(bounds[-1][0])
     for bound_name, bound in reversed(bounds[:-1]):
         name = F.when(middle < bound, F.lit(bound_name)).otherwise(name)
-    chosen = small.join(F.broadcast(before), "bucket").select("group_id", name.alias("split_name"))
-    return groups.join(chosen.unionByName(large_ones), "group_id").select("record_id", "group_id", "split_name")
+    chosen = small.join(F.broadcast(before), "bucket").select("group_id", name.alias("split_name"), F.lit(0).alias("salt"))
+    chosen = chosen.unionByName(large_ones.withColumn("salt", F.explode(_salts())))
+    is_large = F.col("group_id").isin([g for g, _ in placed]) if placed else F.lit(False)
+    salted = groups.select("record_id", "group_id", F.when(is_large, _salt()).otherwise(0).alias("salt"))
+    return salted.join(chosen, ["group_id", "salt"]).select("record_id", "group_id", "split_name")
+
+
+def split_faults(records: DataFrame, splits: DataFrame, targets: DataFrame, tolerance: float = 0.02) -> DataFrame:
+    """One row on what splits must keep: (records, unassigned, torn_articles, torn_images, splits, splits_near_target).
+
+    An article or image is torn if its records lie in more than one split; a split is near its target if its share of records
+    differs from the wanted one by no more than ``tolerance``.
+    """
+    rows = records.select(
+        "record_id", ids.canonical_pmcid(F.col("pmcid")).alias("article"), ids.canonical_image_id(F.col("parent_image_id")).alias("image")
+    )
+    joined = shared_checkpoint(rows.join(splits.select("record_id", "split_name"), "record_id", "left"))
+
+    def torn(column: str) -> Column:
+        ends = joined.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("split_name").alias("a"), F.max("split_name").alias("b"))
+        return ends.where("a <> b").select(F.count("*")).scalar()
+
+    total = joined.agg(F.count("*")).scalar()
+    sums = targets.agg(F.sum("share")).scalar()
+    by_split = targets.join(joined.groupBy("split_name").agg(F.count("*").alias("n")), "split_name", "left")
+    near = F.abs(F.coalesce("n", F.lit(0)) / total - F.col("share") / sums) <= tolerance
+    counted = by_split.agg(F.count("*").alias("splits"), F.count_if(near).alias("splits_near_target"))
+    unassigned = joined.where(F.col("split_name").isNull()).select(F.count("*")).scalar()
+    return counted.select(
+        total.alias("records"), unassigned.alias("unassigned"), torn("article").alias("torn_articles"), torn("image").alias("torn_images"),
+        "splits", "splits_near_target",
+    )

