@@ -66,7 +66,7 @@ _LEAF = re.compile(
       .*?(?:\\end\{[^}\n]*\}|\Z))
   | (?P<display>\\\[.*?\\\]|\\\(.*?\\\))
   | (?P<dollar>\$\$[^$]+\$\$|\$(?=\S)[^$\n]*?(?<=\S)\$(?![0-9]))
-  | (?P<command>\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?:\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\})*)
+  | (?P<command>\\[A-Za-z]+\*?)
   | (?P<escape>\\[^A-Za-z\s])
   | (?P<strong>\*\*\*(?=[^\s*])[^*\n]*?(?<=\S)\*\*\*(?!\*)|\*\*(?=[^\s*])[^*\n]*?(?<=\S)\*\*|__(?=[^\s_])[^_\n]*?(?<=\S)__)
   | (?P<em>(?<![\w*])\*(?=[^\s*])[^*\n]*?(?<=\S)\*(?![\w*])|(?<![\w_])_(?=[^\s_])[^_\n]*?(?<=\S)_(?![\w_]))
@@ -77,7 +77,7 @@ _LEAF = re.compile(
     re.X | re.S | re.M,
 )
 #: What a text must hold to have more than one leaf.
-_ANY = r"[<>&*_$#`~\\|{}\[^\n]|''|^[ \t]*[-+] |^[ \t]*[0-9]{1,3}[.)] "
+_ANY = r"[<>&*_$#`~\\|{}\[^\n]|''|^[ \t]*[-+] |^[ \t]*[0-9]{1,3}[.)] |^={2}[^\n]+=="
 
 _VOID = frozenset("br hr img input meta link wbr col graphic inline-graphic".split())
 _BLOCK = frozenset(
@@ -98,18 +98,25 @@ _COMMANDS = {
         "reference": "cite citep citet ref eqref label footnote url includegraphics bibitem",
         "structure": "begin end item centering hline noindent maketitle",
         "symbol": "alpha beta gamma delta epsilon kappa lambda mu pi rho sigma tau omega pm times leq geq cdot degree",
+        "maths": "frac dfrac tfrac sqrt binom sum prod int lim partial nabla infty hat bar vec dot tilde overline log exp ln sin cos",
+        "second": "href textcolor colorbox",
     }.items()
     for name in names.split()
 }
-_GROUPS = {"head": _HEAD_TAGS, "code": _CODE_TAGS, "math": _MATH_TAGS, "item": _ITEM_TAGS, "cell": _CELL_TAGS}
+_HEADINGS = frozenset(f"\\{name}" for name, kind in _COMMANDS.items() if kind == "heading")
+_GROUPS = {"head": _HEAD_TAGS | _HEADINGS, "code": _CODE_TAGS, "math": _MATH_TAGS, "item": _ITEM_TAGS, "cell": _CELL_TAGS}
 
 
 @dataclass(slots=True)
 class Leaf:
+    """A piece of text; ``name`` is that of a tag or command, ``code`` tells the code element it lies in."""
+
     kind: str
     text: str
     start: int
     ancestor: str
+    name: str = ""
+    code: str = ""
 
 
 def _name(text: str) -> tuple[str, bool, bool]:
@@ -128,30 +135,108 @@ def _group(stack: list[str]) -> str:
     return "other" if stack else ""
 
 
+def _closing(text: str, at: int) -> int:
+    """The end of the group that opens at ``at``, or -1 if it never closes."""
+    depth = 0
+    for m in _BRACE.finditer(text, at):
+        depth += {"{": 1, "}": -1}.get(m.group(), 0)
+        if not depth:
+            return m.end()
+    return -1
+
+
+def _command(text: str, name: str, at: int) -> tuple[str, int]:
+    """The kind and end of a command whose name ends at ``at``.
+
+    Commands that mark up their last argument end with its opening brace (``open``); the argument is text like any other, and its
+    closing brace is a leaf of its own.  Arguments of formulas and references are part of the command, and so are scripts.
+    """
+    kind = _COMMANDS.get(name, "other")
+    if kind == "symbol":
+        return "command", _scripts(text, at)
+    if option := _OPTION.match(text, at):
+        at = option.end()
+    if kind in ("content", "heading", "other", "second"):
+        if kind == "second" and text[at : at + 1] == "{" and (end := _closing(text, at)) > 0:
+            at = end
+        return ("open", at + 1) if text[at : at + 1] == "{" else ("command", at)
+    while text[at : at + 1] == "{" and (end := _closing(text, at)) > 0:
+        at = end
+    if option := _OPTION.match(text, at):
+        at = option.end()
+    return "command", _scripts(text, at) if kind == "maths" else at
+
+
+def _scripts(text: str, at: int) -> int:
+    """The end of the sub- and superscripts that begin at ``at``."""
+    while m := _SCRIPT.match(text, at):
+        end = _closing(text, m.end() - 1) if m.group().endswith("{") else m.end()
+        if end < 0:
+            break
+        at = end
+    return at
+
+
+_BRACE = re.compile(r"\\.|[{}]", re.S)
+_OPTION = re.compile(r"\[[^\]\n]*\]")
+_SCRIPT = re.compile(r"[_^](?:\{|\\[A-Za-z]+|[A-Za-z0-9])")
+
+
 def leaves(text: str) -> list[Leaf]:
     """The chain of leaves; together they make up the text."""
     out: list[Leaf] = []
     stack: list[str] = []
+    braces: list[str] = []  # the commands of open braces, empty for a brace without one
+    line = ""  # what the mark at its beginning makes of the rest of a line
     at = 0
-    for m in _LEAF.finditer(text):
-        if m.start() > at:
-            out.append(Leaf("text", text[at : m.start()], at, _group(stack)))
+
+    def code() -> str:
+        return "pre" if "pre" in stack else "code" if stack and not _CODE_TAGS.isdisjoint(stack) else ""
+
+    def add(kind: str, start: int, end: int, name: str = "") -> None:
+        group = _group(stack)
+        out.append(Leaf(kind, text[start:end], start, line if line and group in ("", "other") else group, name, code()))
+
+    def leave(name: str) -> None:
+        if name in stack:
+            del stack[len(stack) - 1 - stack[::-1].index(name) :]
+
+    while m := _LEAF.search(text, at):
+        start, end = m.span()
+        if start > at:
+            add("text", at, start)
         kind, value = m.lastgroup, m.group()
-        at = m.end()
         if kind in ("tag", "escaped"):
             name, closes, void = _name(value)
             if closes:
-                if name in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(name) :]
-                out.append(Leaf(kind, value, m.start(), _group(stack)))
-            else:
-                out.append(Leaf(kind, value, m.start(), _group(stack)))
-                if not void:
-                    stack.append(name)
+                # a heading may be closed by the tag of another level
+                other = next((x for x in reversed(stack) if x in _HEAD_TAGS), name) if name in _HEAD_TAGS else name
+                leave(name if name in stack else other)
+            add(kind, start, end, name)
+            if not closes and not void:
+                stack.append(name)
+        elif kind == "command":
+            name = value.strip("\\*")
+            kind, end = _command(text, name, end)
+            line = "" if name in ("item", "end") else line
+            add(kind, start, end, name)
+            line = "item" if name == "item" else line
+            if kind == "open":
+                braces.append(name)
+                stack.append(f"\\{name}")
+        elif value == "}" and braces:
+            name = braces.pop()
+            leave(f"\\{name}")
+            add("close" if name else kind, start, end, name)
         else:
-            out.append(Leaf(kind, value, m.start(), _group(stack)))
+            if value == "{" and braces:
+                braces.append("")
+            line = "" if kind == "newline" else line
+            add(kind, start, end)
+            line = {"bullet": "item", "number": "item", "head": "head"}.get(kind, line)
+        at = end
     if at < len(text):
-        out.append(Leaf("text", text[at:], at, _group(stack)))
+        add("text", at, len(text))
     return out
 
 
@@ -196,9 +281,10 @@ def _context(leaf: Leaf, before: str, after: str) -> tuple:
             kind, text[0], bool(_P_VALUE.match(inner)), inner[:1].isdigit(), bool(_MATHS.search(inner)),
             min(len(_WORDS.findall(inner)), 2), " " in inner, _class(before[-1:]), _class(after[:1]),
         )
-    if kind == "command":
-        name = re.match(r"\\([A-Za-z]+)", text).group(1)
-        return (kind, _COMMANDS.get(name, "other"), "{" in text, leaf.ancestor)
+    if kind in ("command", "open", "close"):
+        known = _COMMANDS.get(leaf.name, "other")
+        scripted = known == "symbol" and ("_" in text or "^" in text)
+        return (kind, "maths" if scripted else known, "{" in text, leaf.ancestor)
     if kind == "env":
         return (kind, re.match(r"\\begin\{(\w+)", text).group(1))
     if kind in ("bullet", "number", "quote"):
@@ -260,6 +346,24 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
         attributes = r.choice(("", "", ' class="x"', ' ref-type="bibr" rid="B7"', " id=f1"))
         return [(f"<{name}{attributes}>", DROP), (inner, label), (f"</{name}>", DROP)]
 
+    def command(name: str, inner: list[tuple[str, int]]) -> list[tuple[str, int]]:
+        return [(f"\\{name}{{", DROP), *inner, ("}", DROP)]
+
+    def within(label: int) -> list[tuple[str, int]]:
+        """A sentence under ``label`` that holds tags or commands."""
+        words = r.choice(sentences).split(" ")
+        cut = r.randint(1, len(words) - 1)
+        left, right = " ".join(words[:cut]) + " ", " " + " ".join(words[cut:])
+        marked = r.choice(
+            (
+                lambda: [(f"<{(t := r.choice(('b', 'i', 'sup', 'italic', 'bold', 'span')))}>", DROP), (word(), label), (f"</{t}>", DROP)],
+                lambda: [(f"**{word()}**", INLINE)],
+                lambda: [("\\emph{", DROP), (word(), label), ("}", DROP)],
+                lambda: [(r.choice(("&lt;", "&nbsp;")), CHAR)],
+            )
+        )()
+        return [(left, label), *marked, (right, label)]
+
     def inline() -> list[tuple[str, int]]:
         """A piece within a sentence."""
         w = word()
@@ -284,8 +388,11 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
                 lambda: [(m := r.choice(("''", "'''")), DROP), (w, PLAIN), (m, DROP)],
                 lambda: [(r.choice((f"[[{w}]]", f"[[target|{w}]]")), INLINE)],
                 lambda: [(f"{{{{cite journal |title={w} |year=2020}}}}", DROP)],
-                lambda: [(f"\\{r.choice(('textbf', 'emph', 'textit', 'underline', 'text', 'mathrm', 'textsc'))}{{{w}}}", INLINE)],
-                lambda: [(f"\\{''.join(r.choice('abcdefgh') for _ in range(6))}{{{w}}}", INLINE)],
+                lambda: command(r.choice(("textbf", "emph", "textit", "underline", "text", "mathrm", "textsc")), [(w, PLAIN)]),
+                lambda: command("".join(r.choice("abcdefgh") for _ in range(6)), [(w, PLAIN)]),
+                lambda: command("textbf", [(w + " ", PLAIN), *command("emph", [(word() + " ", PLAIN), *command("textit", [(word(), PLAIN)])])]),
+                lambda: command("href{http://x.org/a_b}", [(w, PLAIN)]),
+                lambda: [(r.choice(("\\frac{a}{b}", f"\\sum_{{i=1}}^n {var}_i".split(" ")[0], "\\sqrt{x+1}", "\\alpha_{1}", "\\int_0^1", "\\frac{\\alpha}{1+k}")), FORMULA)],
                 lambda: [(f"\\{r.choice(('cite', 'ref', 'label', 'citep', 'footnote'))}{{key7}}", DROP)],
                 lambda: [("~", DROP), (f"\\{r.choice(('cite', 'ref'))}{{key7}}", DROP)],
                 lambda: [(r.choice(("\\%", "\\&", "\\_", "\\$", "\\#", "\\,")), CHAR)],
@@ -316,6 +423,10 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
                 lambda: [(body, PLAIN), ("\n\n", PLAIN), (mark, DROP), (plain(), ITEM), ("\n", PLAIN), (mark, DROP), (plain(), ITEM)],
                 lambda: [("<ul>", DROP), ("<li>", DROP), ("P ", ITEM), ("&lt;", CHAR), (" 0.05 for n", ITEM), ("&gt;", CHAR), ("3", ITEM), ("</li>", DROP), ("</ul>", DROP)],
                 lambda: [(mark, DROP), (plain(), ITEM), ("\n", PLAIN), (mark, DROP), (plain(), ITEM)],
+                lambda: [(body, PLAIN), ("\n\n", PLAIN), (mark, DROP), *within(ITEM), ("\n", PLAIN), (mark, DROP), (plain(), ITEM)],
+                lambda: [(mark, DROP), *within(ITEM), ("\n", PLAIN), (mark, DROP), (word(), ITEM), ("\n", PLAIN), (mark, DROP), *within(ITEM)],
+                lambda: [("<ul>", DROP), ("<li>", DROP), *within(ITEM), ("</li>", DROP), ("\n", PLAIN), ("<li>", DROP), *within(ITEM), ("</li>", DROP), ("</ul>", DROP)],
+                lambda: [(f"<{(t := r.choice(('h1', 'h3', 'title')))}>", DROP), *within(HEADING), (f"</{t}>", DROP), *tagged("p", body)],
                 lambda: [("<ul>", DROP), *tagged("li", plain(), ITEM), *tagged("li", plain(), ITEM), ("</ul>", DROP)],
                 lambda: [(body, PLAIN), ("\n\n", PLAIN), ("> ", DROP), (plain(), PLAIN)],
                 lambda: [(body, PLAIN), ("\n", PLAIN), ("```\nfit <- model(a ~ b)\nprint(fit)\n```", CODE), ("\n", PLAIN), (plain(), PLAIN)],
@@ -323,7 +434,10 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
                 lambda: [("| marker | value |", TABLE), ("\n", PLAIN), ("|---|---:|", TABLE), ("\n", PLAIN), ("| ABC | 4 |", TABLE), ("\n\n", PLAIN), (body, PLAIN)],
                 lambda: [('{| class="wikitable"\n! ABC !! dose\n|-\n| 4 || 5\n|}', TABLE), ("\n", PLAIN), (body, PLAIN)],
                 lambda: [("<table>", DROP), ("<tr>", DROP), *tagged("td", "ABC", TABLE), *tagged("td", "4", TABLE), ("</tr>", DROP), ("</table>", DROP), (body, PLAIN)],
-                lambda: [(f"\\{r.choice(('section', 'subsection', 'paragraph', 'caption'))}{{{title}}}", HEADING), ("\n", PLAIN), (body, PLAIN)],
+                lambda: [*command(r.choice(("section", "subsection", "paragraph", "caption")), [(title, HEADING)]), ("\n", PLAIN), (body, PLAIN)],
+                lambda: [("<pre>", DROP), ("for x in rows:", CODE), ("\n", PLAIN), ("    total += x", CODE), ("\n", PLAIN), ("  if total ", CODE), ("&lt;", CHAR), (" 3:", CODE), ("\n", PLAIN), ("    stop()", CODE), ("</pre>", DROP)],
+                lambda: [(body, PLAIN), ("\n", PLAIN), ("\\begin{verbatim}\nx <- 3\n  y\n\\end{verbatim}", CODE), ("\n", PLAIN), (plain(), PLAIN)],
+                lambda: [("\\begin{tabular}{ll}\nA & 4 \\\\\nB & 5\n\\end{tabular}", TABLE), ("\n", PLAIN), (body, PLAIN)],
                 lambda: [
                     (body, PLAIN), ("\n", PLAIN), ("\\begin{itemize}", DROP), ("\n", PLAIN), ("\\item", DROP), (" " + plain(), ITEM), ("\n", PLAIN),
                     ("\\item", DROP), (" " + plain(), ITEM), ("\n", PLAIN), ("\\end{itemize}", DROP),
@@ -339,8 +453,11 @@ def labelled_pages(n: int, seed: int = 7) -> list[list[tuple[str, int]]]:
         way = r.random()
         if way < 0.35:
             pages.append([(plain(r.randint(1, 4)), PLAIN)])
-        elif way < 0.55:
-            pages.append(block())
+        elif way < 0.6:
+            page = block()
+            for _ in range(r.choice((0, 0, 1, 2))):
+                page = [*page, (r.choice(("\n", "\n\n")), PLAIN), *block()]
+            pages.append(page)
         else:
             page = []
             for _ in range(r.randint(1, 3)):
@@ -368,6 +485,10 @@ def label_leaves(page: list[tuple[str, int]]) -> tuple[str, list[int]]:
 # ------------------------------------------------------------------------------------------------------- field
 
 
+#: Leaves decoded at once, padding included.
+CELLS = 1 << 17
+
+
 class Field:
     """A linear-chain conditional random field over cached feature keys."""
 
@@ -395,8 +516,14 @@ class Field:
         """The best labels of each chain (Viterbi), many chains of similar length at a time."""
         out: list[np.ndarray] = [np.zeros(0, dtype=int)] * len(keys)
         order = sorted(range(len(keys)), key=lambda i: len(keys[i]))
-        for at in range(0, len(order), 512):
-            group = order[at : at + 512]
+        at = 0
+        while at < len(order):
+            # chains are sorted by length: as many as fill ``CELLS`` when padded to the longest of them
+            size = 1
+            while at + size < len(order) and size < 512 and (size + 1) * len(keys[order[at + size]]) <= CELLS:
+                size += 1
+            group = order[at : at + size]
+            at += size
             lengths = np.array([len(keys[i]) for i in group])
             width = int(lengths.max(initial=0))
             if not width:
@@ -516,15 +643,17 @@ def _inner(leaf: Leaf) -> str:
         return re.match(r"!?\[([^\]]*)\]", text).group(1)
     if leaf.kind == "wikilink":
         return text[2:-2].rpartition("|")[2]
-    if leaf.kind == "command":
-        found = re.findall(r"\{((?:[^{}]|\{[^{}]*\})*)\}", text)
-        return found[-1] if found else ""
+    if leaf.kind in ("command", "open"):
+        return ""
     if leaf.kind == "wikihead":
         return text.strip().strip("=").strip()
     return text.strip("*_~`$")
 
 
 def _table(text: str) -> str:
+    if text.startswith("\\begin"):
+        text = re.sub(r"^\\begin\{\w+\*?\}(?:\{[^}]*\})?|\\end\{\w+\*?\}$|\\[hct][a-z]*line", "", text)
+        text = "\n".join(re.sub(r"\s*(?<!\\)&\s*", "|", row) for row in re.split(r"\s*\\\\\s*", text))
     lines = []
     for line in text.split("\n"):
         bare = line.strip()
@@ -535,69 +664,123 @@ def _table(text: str) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def render(found: list[Leaf], labels: np.ndarray, field: Field, depth: int = 0) -> str:
-    """The clean text of labelled leaves."""
-    out: list[str] = []
+def _begins_anew(leaf: Leaf) -> bool:
+    """Whether a dropped leaf ends the heading or item before it."""
+    if leaf.kind in ("tag", "escaped", "broken"):
+        return (leaf.name or _name(leaf.text)[0]) in _BLOCK
+    if leaf.kind in ("open", "close", "command"):
+        return _COMMANDS.get(leaf.name) in ("heading", "structure")
+    return leaf.kind in ("bullet", "number", "quote", "head", "setext", "env", "fence")
+
+
+class _Page:
+    """Clean text under construction.  Code is held apart, so that white space in it stays as it is."""
+
+    def __init__(self) -> None:
+        self.out: list[str] = []
+        self.held: list[str] = []
+        self.code: list[str] = []
+        self.mode = ""
+
+    def hold(self, text: str) -> str:
+        self.held.append(text)
+        return f"\ue000{len(self.held) - 1}\ue001"
 
-    def line(prefix: str, text: str) -> None:
-        if out and not "".join(out[-2:]).endswith("\n"):
-            out.append("\n")
-        out.append(prefix + text.strip())
+    def add(self, text: str) -> None:
+        self.out.append(self.hold(text) if "\ue000" in text else text)
 
+    def line(self, text: str) -> None:
+        if self.out and not "".join(self.out[-2:]).endswith("\n"):
+            self.out.append("\n")
+        self.add(text)
+
+    def keep(self, text: str) -> None:
+        """Add text whose white space stays as it is."""
+        self.out.append(self.hold(text))
+
+    def block(self, text: str) -> None:
+        self.line("")
+        self.keep(text)
+        self.out.append("\n")
+
+    def end_code(self) -> None:
+        body = "".join(self.code)
+        if body.strip() and self.mode == "pre":
+            self.block("```\n" + body.strip("\n").rstrip() + "\n```")
+        elif body.strip():
+            self.keep(f"`{body.strip()}`")
+        self.code, self.mode = [], ""
+
+    def text(self) -> str:
+        self.end_code()
+        text = re.sub(r"[ \t]+", " ", "".join(self.out))
+        text = re.sub(r" ?\n ?", "\n", re.sub(r"\n{3,}", "\n\n", re.sub(r" *\n *", "\n", text))).strip()
+        return re.sub("\ue000([0-9]+)\ue001", lambda m: self.held[int(m.group(1))], text)
+
+
+def render(found: list[Leaf], labels: np.ndarray, field: Field) -> str:
+    """The clean text of labelled leaves."""
+    page = _Page()
     previous, fresh = None, True
     for leaf, label in zip(found, labels, strict=True):
         text = leaf.text
+        if leaf.code:
+            page.mode = leaf.code
+            if not (leaf.kind in ("tag", "escaped", "comment") and label == DROP):
+                page.code.append(_char(text) if leaf.kind in ("entity", "escape") and label == CHAR else text)
+            continue
+        if page.mode:
+            page.end_code()
+            previous = CODE
         same_run = previous == label and not fresh
-        fresh = label in (PLAIN, DROP) and leaf.kind not in ("text", "sign")
+        fresh = leaf.kind == "newline" or (label == DROP and _begins_anew(leaf))
         if label == PLAIN:
             if previous in (HEADING, ITEM, TABLE) and leaf.kind == "text" and text.strip():
-                out.append("\n")
+                page.line("")
                 text = text.lstrip()
-            out.append(text)
+            page.add(text)
         elif label == DROP:
-            name = _name(text)[0] if leaf.kind in ("tag", "escaped") else ""
-            if name in _BLOCK and out and not out[-1].endswith("\n"):
-                out.append("\n")
+            if _begins_anew(leaf) and page.out and not page.out[-1].endswith("\n"):
+                page.add("\n")
         elif label == CHAR:
-            out.append(_char(text))
+            page.add(_char(text))
         elif label == INLINE:
-            inner = _inner(leaf)
-            out.append(clean(inner, field, depth + 1) if depth < 3 else inner)
+            page.add(clean(_inner(leaf), field))
         elif label == HEADING:
-            inner = text if leaf.kind in ("text", "sign") else _inner(leaf)
-            inner = clean(inner, field, depth + 1) if depth < 3 and leaf.kind not in ("text", "sign") else inner
-            out.append(inner) if same_run else line("# ", inner)
+            inner = text if leaf.kind in ("text", "sign") else clean(_inner(leaf), field)
+            page.add(inner) if same_run else page.line("# " + inner.lstrip())
         elif label == ITEM:
             own = _char(text) if leaf.kind in ("entity", "escape") else text
-            out.append(own) if same_run else line("- ", own)
+            page.add(own) if same_run else page.line("- " + own.lstrip())
         elif label == CODE:
             if leaf.kind == "fence":
-                line("", text)
+                page.block(text)
+            elif leaf.kind == "env":
+                page.block("```\n" + re.sub(r"^\\begin\{\w+\*?\}\n?|\s*\\end\{\w+\*?\}$", "", text) + "\n```")
             elif leaf.kind == "tick":
-                out.append(text)
+                page.keep(text)
             elif text.strip():
-                out.append(text if same_run else f"`{text.strip()}`")
+                page.keep(f"`{text.strip()}`")
         elif label == FORMULA:
             body = re.sub(r"^\\begin\{\w+\*?\}|\\end\{\w+\*?\}$|^\\[\[(]|\\[\])]$", "", text).strip().strip("$").strip()
-            if previous == FORMULA and out and out[-1].endswith("$") and leaf.kind == "text":
-                out[-1] = out[-1][:-1] + " " + body + "$"
+            if previous == FORMULA and page.out and page.out[-1].endswith("$") and leaf.kind == "text":
+                page.out[-1] = page.out[-1][:-1] + " " + body + "$"
             elif body:
-                out.append(f"${body}$")
+                page.add(f"${body}$")
         elif label == TABLE:
             row = _table(text) if leaf.kind != "text" else text.strip()
             if row:
-                line("", row) if leaf.kind != "text" or previous != TABLE else out.append(" | " + row)
+                page.line(row) if leaf.kind != "text" or previous != TABLE else page.add(" | " + row)
         if label != DROP and not (label in (CHAR, INLINE) and previous in (HEADING, ITEM) and not fresh):
             previous = label
-    text = "".join(out)
-    text = re.sub(r"[ \t]+", " ", text) if "```" not in text else text
-    return re.sub(r" ?\n ?", "\n", re.sub(r"\n{3,}", "\n\n", text)).strip()
+    return page.text()
 
 
-def clean(text: str, field: Field, depth: int = 0) -> str:
+def clean(text: str, field: Field) -> str:
+    """Clean text; marks inside of marks are cleaned too, as deep as they go (each kind of mark excludes its own sign)."""
     found, keys = chain(text)
     labels = field.decode([keys])[0]
-    return text if not labels.any() else render(found, labels, field, depth)
+    return text if not labels.any() else render(found, labels, field)
 
 
 def _label_batch(texts: pa.Array, field: Field) -> list[tuple[str | None, list[Leaf], np.ndarray]]:

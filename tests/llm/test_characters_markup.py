@@ -102,6 +102,50 @@ def test_structure_is_kept(field):
     assert "marker | value" in M.clean("| marker | value |\n|---|---:|\n| A | 4 |\n\nScale bar.", field)
 
 
+CLEAN = {
+    r"\frac{a}{b} is the ratio": r"$\frac{a}{b}$ is the ratio",
+    r"E = \sum_{i=1}^n x_i": r"E = $\sum_{i=1}^n$ x_i",
+    "<ul><li>two <b>bold</b> rest</li></ul>": "- two bold rest",
+    r"\textbf{a \emph{b \textit{c \underline{d}}}} e": "a b c d e",
+    "<pre>\nfor x in y:\n    if x &lt; 3:\n\n        f_1(x)\n</pre> and more": "```\nfor x in y:\n    if x < 3:\n\n        f_1(x)\n```\nand more",
+    "```python\ndef f(x):\n   return  x\n```\nText after": "```python\ndef f(x):\n   return  x\n```\n\nText after",
+    "== Methods ==": "# Methods",
+    "**a _b ~~c `d` e~~ f_ g**": "a b c `d` e f g",
+    r"\section{Results \textbf{now}} We saw \cite{a} 5\% and $x_1$.": "# Results now\nWe saw 5% and $x_1$.",
+    "\\begin{tabular}{ll}\nA & 4 \\\\\nB & 5\n\\end{tabular}": "A | 4\nB | 5",
+    "use <code>a  b</code> here": "use `a  b` here",
+    r"\textbf{never closed": "never closed",
+    r"\href{http://x.y/z}{the site} shows": "the site shows",
+    "<h2>Head <i>it</i> on</h3><p>body</p>": "# Head it on\nbody",
+    "- one **b** two\n- three": "- one b two\n- three",
+}
+
+
+def test_structure_of_texts_unlike_the_pages(field):
+    assert {text: M.clean(text, field) for text in CLEAN} == CLEAN
+
+
+def test_every_kind_of_markup_passes_the_gate(field):
+    """Texts with one leaf of each kind are cut into leaves, none is taken as plain unseen."""
+    samples = {
+        "comment": "<!-- a -->", "tag": "<b>", "broken": "</b", "escaped": "&lt;i&gt;", "entity": "&nbsp;", "fence": "```x```", "tick": "`x`",
+        "head": "# x", "wikihead": "== x ==", "setext": "x\n---", "wikitable": "{| x |}", "row": "|x|", "bullet": "+ x", "number": "1. x",
+        "quote": "> x", "link": "[x](y)", "wikilink": "[[x]]", "template": "{{x}}", "wikimark": "''x", "env": "\\begin{math}x\\end{math}",
+        "display": "\\(x\\)", "dollar": "$x$", "command": "\\item", "escape": "\\%", "strong": "**x**", "em": "_x_", "strike": "~~x~~",
+        "newline": "\n", "sign": "<",
+    }
+    assert set(samples) == set(M._LEAF.groupindex)
+    for kind, text in samples.items():
+        assert kind in [x.kind for x in M.leaves(text)], kind
+        assert M._label_batch(pa.array([text]), field)[0][1], kind
+
+
+def test_deep_and_unclosed_marks(field):
+    deep = "".join(f"\\emph{{w{k} " for k in range(3000)) + "}" * 2000
+    assert "emph" not in M.clean(deep, field) and "w2999" in M.clean(deep, field)
+    assert M.clean("a \ue000 <b>b</b> \ue0007\ue001", field) == "a \ue000 b \ue0007\ue001"
+
+
 def test_leaves_make_up_the_text():
     for page in M.labelled_pages(100, seed=5):
         text = "".join(t for t, _ in page)
