@@ -171,6 +171,18 @@ SEED, NEIGHBOUR, REST, WHOLE = range(4)
 ROLES = ("seed", "neighbour", "rest", "whole")
 
 
+def _ranked(score: np.ndarray, first: int = 32) -> Iterator[int]:
+    """All items with a score, the highest first, ties in order; the first few are sorted before the others."""
+    near = np.flatnonzero(score > 0)
+    if len(near) > 2 * first:
+        bound = np.partition(score[near], len(near) - first)[len(near) - first]
+        parts = [near[score[near] >= bound], near[score[near] < bound]]
+    else:
+        parts = [near]
+    for part in parts:
+        yield from part[np.argsort(-score[part], kind="stable")].tolist()
+
+
 def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.ndarray]:
     """The container of every item and how it came in; items are no larger than the capacity."""
     n = len(sizes)
@@ -199,10 +211,9 @@ def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.
         if available and room >= available[0] and size > 0:
             score = index.scores(seed)
             score[~(unused & (sizes <= room))] = 0.0
-            near = np.flatnonzero(score > 0)
-            for i in near[np.lexsort((near, -score[near]))]:
+            for i in _ranked(score):
                 if sizes[i] <= room:
-                    take(int(i), int(sizes[i]), number)
+                    take(i, int(sizes[i]), number)
                     role[i] = NEIGHBOUR
                     room -= int(sizes[i])
                     if not available or room < available[0]:
