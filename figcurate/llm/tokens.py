@@ -1,10 +1,13 @@
 """Token ids of whole texts by forced-boundary splitting.
 
-A byte pair that occurs inside no vocabulary token can never be merged over, so a cut between its two bytes is certain.  For a
-byte-level vocabulary whose tokens hold white space only at their start, every place where a run of white space begins after
-another character is such a cut, and the pre-tokenizer always ends a piece there too.  Texts are therefore cut before those
-runs, each distinct fragment of a batch is encoded once, and the ids of the fragments are laid end to end.  The pairs are
-read from the vocabulary: if it does not allow the cut, texts are encoded whole.
+A byte pair that occurs inside no vocabulary token can never be merged over, so a cut between its two bytes is certain.  The
+full table of such pairs is read from the vocabulary (``pairs_inside``), and every text is cut at all of them where the
+pre-tokenizer ends no piece differently for it (``certain_cuts``); each distinct fragment is encoded once, and the ids of the
+fragments are laid end to end.
+
+For vocabularies whose tokens hold white space only at their start, every space after another character is such a cut; there
+texts are first split at spaces as whole columns, and the fragments then at the other pairs.  Other vocabularies take all cuts
+from the table.
 
 Null and empty texts have the empty list of ids.  Special tokens' strings in a text are ordinary text.
 """
@@ -36,16 +39,45 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def cuts_before_space(ranks: dict[bytes, int]) -> bool:
-    """Whether no token holds a space after a character other than white space, so that a cut before white space is certain."""
+def pairs_inside(ranks: dict[bytes, int]) -> np.ndarray:
+    """Which byte pairs occur inside a token, as a table of 256 x 256."""
+    out = np.zeros((256, 256), dtype=bool)
     for token in ranks:
-        at = token.find(b" ", 1)
-        while at > 0:
-            before = token[:at].decode("utf-8", errors="replace")
-            if not before[-1].isspace():
-                return False
-            at = token.find(b" ", at + 1)
-    return True
+        if len(token) > 1:
+            b = np.frombuffer(token, dtype=np.uint8)
+            out[b[:-1], b[1:]] = True
+    return out
+
+
+def cuts_before_space(ranks: dict[bytes, int]) -> bool:
+    """Whether no token holds a space after a byte other than ASCII white space."""
+    return not pairs_inside(ranks)[[b for b in range(256) if b >= 128 or not chr(b).isspace()], 0x20].any()
+
+
+def certain_cuts(text: str, inside: np.ndarray) -> list[str]:
+    """``text`` cut between characters whose bytes meet inside no token.
+
+    The pre-tokenizer must end its pieces alike with and without the cut.  Its runs of letters, digits or other characters end
+    where they would anyway; white space followed by other characters is left together, as a run of white space gives up its
+    last character to what follows; and so is an apostrophe with its neighbours, as it begins contractions.
+    """
+    data = text.encode()
+    b = np.frombuffer(data, dtype=np.uint8)
+    if len(b) < 2:
+        return [text] if text else []
+    at = np.flatnonzero(~inside[b[:-1], b[1:]] & ((b[1:] & 0xC0) != 0x80)) + 1
+    if not len(at):
+        return [text]
+    out, start = [], 0
+    for k in at.tolist():
+        before = data[max(start, k - 4) : k].decode(errors="ignore")[-1:]
+        after = data[k : k + 4].decode(errors="ignore")[:1]
+        if "'" in (before, after) or (before.isspace() and not after.isspace()):
+            continue
+        out.append(data[start:k].decode())
+        start = k
+    out.append(data[start:].decode())
+    return out
 
 
 class FragmentEncoder:
@@ -57,6 +89,7 @@ class FragmentEncoder:
 
         ranks = read_ranks(path)
         self._encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._inside = pairs_inside(ranks)
         self._certain = cuts_before_space(ranks)
         self._fragments = regex.compile(r"\p{White_Space}*[^\p{White_Space}]+|\p{White_Space}+").findall
         self._seen: dict[str, np.ndarray] = {}
@@ -66,15 +99,17 @@ class FragmentEncoder:
         if found is None:
             if len(self._seen) >= MEMORY:
                 self._seen.clear()
-            found = self._seen[fragment] = np.array(self._encode(fragment), dtype=np.int32)
+            ids = [i for piece in certain_cuts(fragment, self._inside) for i in self._encode(piece)]
+            found = self._seen[fragment] = np.array(ids, dtype=np.int32)
         return found
 
     def _plan(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """For non-null texts: each text's number of fragments, the fragments' numbers, and the ids of each number."""
         if not self._certain:
-            return np.ones(len(texts), dtype=np.int64), np.arange(len(texts)), [
-                np.array(self._encode(t), dtype=np.int32) for t in texts.to_pylist()
-            ]
+            cut = [certain_cuts(t, self._inside) for t in texts.to_pylist()]
+            coded = pa.array([f for fragments in cut for f in fragments], type=pa.string()).dictionary_encode()
+            known = [np.array(self._encode(f), dtype=np.int32) for f in coded.dictionary.to_pylist()]
+            return np.array([len(c) for c in cut], dtype=np.int64), np.asarray(coded.indices).astype(np.int64), known
         split = pc.split_pattern(texts, " ")
         parts, offsets = split.values, np.asarray(split.offsets)
         coded = parts.dictionary_encode()

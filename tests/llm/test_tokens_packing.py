@@ -48,6 +48,36 @@ def test_the_cut_comes_from_the_vocabulary():
     assert not tokens.cuts_before_space({**ranks, b"a b": 99999})
 
 
+@pytest.mark.parametrize("extra", [{}, {b"a b": 99999}])
+def test_cuts_at_all_impossible_pairs(whole, extra):
+    ranks = tokens.read_ranks(tokens.DEFAULT_VOCABULARY)
+    inside = tokens.pairs_inside({**ranks, **extra})
+    r = np.random.default_rng(4)
+    signs = list("ab'sre \n\t \u3000é中文漢字かな😀-_/.,:;0123()\"!?ÿ\x01€Ωж\u200b")
+    texts = ["".join(r.choice(signs, size=int(n))) for n in r.integers(1, 40, 4000)] + ["漢字かな交じり文" * 2000, "https://a.b/c_d?e=f&g" * 500]
+    cut = [tokens.certain_cuts(t, inside) for t in texts]
+    assert ["".join(c) for c in cut] == texts and sum(map(len, cut)) > 20000
+    if not extra:
+        assert [[i for f in c for i in whole(f)] for c in cut] == [whole(t) for t in texts]
+        assert max(map(len, cut[-2])) < 20  # text without spaces is cut too
+
+
+def test_a_vocabulary_with_spaces_inside_takes_its_cuts_from_the_table(tmp_path):
+    import base64
+
+    import tiktoken
+
+    ranks = tokens.read_ranks(tokens.DEFAULT_VOCABULARY)
+    ranks[b"of the"] = max(ranks.values()) + 1
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % k for t, k in ranks.items()))
+    encoder = tokens.FragmentEncoder(str(path), pattern=r"[^.]+|\.")
+    whole = tiktoken.Encoding("x", pat_str=r"[^.]+|\.", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    texts = ["end of the line. 東京 and of the", "", "of thewords of  the"]
+    counts, values = encoder.encode(pa.array(texts))
+    assert values.tolist() == [i for t in texts for i in whole(t)] and counts.tolist() == [len(whole(t)) for t in texts]
+
+
 def test_corpus(spark, whole):
     rows = spark.createDataFrame([(i, t, 1) for i, t in enumerate(CASES)], "doc_id bigint, text string, ids int")
     got = {r.doc_id: r.ids for r in tokens.encode_corpus(rows).collect()}
