@@ -75,12 +75,16 @@ class Leaders:
         doc, term, count = TermCounter()(pa.array(texts, type=pa.string()))
         self.n = len(texts)
         index = Bm25(np.searchsorted(doc, np.arange(self.n + 1)), term, count.astype(np.float64))
-        self.terms, self.starts, self.docs, self.weights = np.unique(term), index.starts, index.docs, index.weights
+        sizes = np.diff(index.starts)
+        telling = sizes <= max(self.n // 4, 1)  # what a quarter of the leaders hold tells none of them apart
+        kept = np.repeat(telling, sizes)
+        self.terms, self.docs, self.weights = np.unique(term)[telling], index.docs[kept], index.weights[kept]
+        self.starts = np.concatenate([[0], np.cumsum(sizes[telling])])
 
     def cells(self, n: int, doc: np.ndarray, term: np.ndarray) -> np.ndarray:
         """The cell of each of ``n`` documents; those that share no term with any leader are one cell."""
         out = np.full(n, self.n * self.n, dtype=np.int64)
-        if not self.n or not len(doc):
+        if not len(self.terms) or not len(doc):
             return out
         at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
         known = self.terms[at] == term

@@ -30,6 +30,8 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 DEFAULT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fragments remembered between batches; beyond it the memory is emptied, which costs time but changes nothing.
 MEMORY = 400_000
+#: Characters up to which a fragment is encoded in one go, as looking for further cuts would take longer; the ids are the same.
+SHORT = 24
 #: White space before a space: the text is then cut by the slower general rule.
 _RUN = r"[\t\n\x0b\f\r\x{85}\p{Z}] "
 
@@ -50,8 +52,15 @@ def pairs_inside(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 def cuts_before_space(ranks: dict[bytes, int]) -> bool:
-    """Whether no token holds a space after a byte other than ASCII white space."""
-    return not pairs_inside(ranks)[[b for b in range(256) if b >= 128 or not chr(b).isspace()], 0x20].any()
+    """Whether no token holds a space after a character other than white space, so that a cut before white space is certain."""
+    for token in ranks:
+        at = token.find(b" ", 1)
+        while at > 0:
+            before = token[:at].decode("utf-8", errors="replace")
+            if not before[-1].isspace():
+                return False
+            at = token.find(b" ", at + 1)
+    return True
 
 
 def certain_cuts(text: str, inside: np.ndarray) -> list[str]:
@@ -99,7 +108,10 @@ class FragmentEncoder:
         if found is None:
             if len(self._seen) >= MEMORY:
                 self._seen.clear()
-            ids = [i for piece in certain_cuts(fragment, self._inside) for i in self._encode(piece)]
+            if len(fragment) > SHORT:
+                ids = [i for piece in certain_cuts(fragment, self._inside) for i in self._encode(piece)]
+            else:
+                ids = self._encode(fragment)
             found = self._seen[fragment] = np.array(ids, dtype=np.int32)
         return found
 
