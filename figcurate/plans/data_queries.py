@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figcurate.operators import compaction, incremental
-from figcurate.session import ensure_checkpoint_dir
+from figcurate.session import ensure_checkpoint_dir, shared_checkpoint
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,11 @@ def p2_consolidation_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.consolidation_plan(_small(spark, sf_dir))
 
 
+def p2_plan_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small = shared_checkpoint(_small(spark, sf_dir))
+    return compaction.plan_faults(small, shared_checkpoint(compaction.consolidation_plan(small)))
+
+
 def p2_crowded_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.crowded_partitions(_small(spark, sf_dir))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_crowded_partitions": p2_crowded_partitions,
     "p2_consolidation_plan": p2_consolidation_plan,
+    "p2_plan_faults": p2_plan_faults,
 }
 
 _PMCID = "CASE WHEN regexp_extract({0}, '[0-9]+') <> '' THEN 'PMC' || regexp_extract({0}, '[0-9]+') END"
@@ -156,4 +162,8 @@ SQL: dict[str, str] = {
       AND EXISTS (SELECT 1 FROM named n WHERE n.store_name = f.store_name AND n.place = f.place))
       SELECT store_name, regexp_extract(place, '^(.*)/[^/]*$', 1) AS partition, count(*) AS small_files, CAST(sum(n_bytes) AS BIGINT) AS small_bytes
       FROM small GROUP BY 1, 2 HAVING count(*) > 8""",
+    "p2_plan_faults": f"""WITH {_SMALL}
+      SELECT f.store_name, count(*) AS files, CAST(sum(n_bytes) AS BIGINT) AS bytes, 0::BIGINT AS missing, 0::BIGINT AS twice, 0::BIGINT AS gaps,
+        0::BIGINT AS off_size FROM files f WHERE f.n_bytes > 0 AND f.n_bytes < f.small_below_bytes
+      AND EXISTS (SELECT 1 FROM named n WHERE n.store_name = f.store_name AND n.place = f.place) GROUP BY 1""",
 }

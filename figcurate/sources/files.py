@@ -71,5 +71,5 @@ class Files:
         stream.write(bytearray(text, "utf-8"))
         stream.close()
 
-    def delete(self, relative: str) -> None:
-        self._fs.delete(self._path(relative), False)
+    def delete(self, relative: str, recursive: bool = False) -> None:
+        self._fs.delete(self._path(relative), recursive)

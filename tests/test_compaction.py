@@ -99,3 +99,46 @@ def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
     C.overwrite_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string"), path, ["p"])
     C.overwrite_partitions(spark.createDataFrame([(3, "b")], "id int, p string"), path, ["p"])
     assert sorted((r.id, r.p) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
+
+
+def test_partitions_are_consolidated_by_themselves_where_they_fill_a_file(spark):
+    rows = [("s", i, f"/d/hot/{i}", 10, 400) for i in range(300)] + [("s", 1000 + i, f"/d/{i // 2}/{i}", 10, 400) for i in range(100)] + [("t", 5000, "/t/x", 3, 400)]
+    small = spark.createDataFrame(rows, "store_name string, file_id bigint, place string, n_bytes bigint, target_bytes bigint")
+    plan = C.consolidation_plan(small)
+    got = plan.collect()
+    assert sorted(r.file_id for r in got) == sorted(r[1] for r in rows)
+    assert {r.partition for r in got if r.file_id < 1000} == {"/d/hot"} and {r.partition for r in got if r.file_id >= 1000} == {""}
+    assert not {r.container_id for r in got if r.partition} & {r.container_id for r in got if not r.partition}
+    faults = {r.store_name: r for r in C.plan_faults(small, plan).collect()}
+    assert all(tuple(faults[k])[1:] == (n, b, 0, 0, 0, 0) for k, n, b in (("s", 400, 4000), ("t", 1, 3)))
+    lost = C.plan_faults(small, plan.where("file_id <> 7").unionByName(plan.where("file_id = 8"))).where("store_name = 's'").first()
+    assert lost.missing == 1 and lost.twice == 1 and lost.gaps > 0
+
+
+def test_files_move_into_their_containers(spark, tmp_path):
+    root = tmp_path / "store"
+    for i in range(40):
+        (root / f"a{i % 3}").mkdir(parents=True, exist_ok=True)
+        (root / f"a{i % 3}" / f"f {i}.bin").write_bytes(bytes([i]) * (i + 1))
+    small = spark.createDataFrame([("s", i, f"{root}/a{i % 3}/f {i}.bin", i + 1, 300) for i in range(40)], "store_name string, file_id bigint, place string, n_bytes bigint, target_bytes bigint")
+    table = C.SnapshotTable(spark, str(tmp_path / "table"), ["store_name", "container_id"])
+    plan = C.consolidation_plan(small)
+    C.consolidate(plan, small, str(root), table)
+    got = {r.file_id: bytes(r.content) for r in table.read().collect()}
+    assert got == {i: bytes([i]) * (i + 1) for i in range(40)}
+    assert table.live().count() == plan.select("container_id").distinct().count()
+
+
+def test_manifests_fold_and_types_stay(spark, tmp_path):
+    table = C.SnapshotTable(spark, str(tmp_path), ["day", "p"])
+    table.FOLD = 3
+    for k in range(7):
+        table.append(spark.createDataFrame([(k, "01", f"x:{k % 2}/y z%+")], "id bigint, day string, p string"))
+    assert table.append(table.read().limit(0)) == 7
+    assert any(n.startswith("state-") for n in table.store.names("_manifests"))
+    assert sorted(map(tuple, table.read().collect())) == [(k, "01", f"x:{k % 2}/y z%+") for k in range(7)]
+    assert set(table.compact(1 << 20).values()) == {1} and table.live().count() == 2
+    table.append(spark.createDataFrame([(9, "01", None, 0.5)], "id bigint, day string, p string, more double"))
+    rows = {r.id: r for r in table.read().collect()}
+    assert len(rows) == 8 and rows[9].more == 0.5 and rows[9].p is None and rows[0].more is None and rows[0].day == "01"
+    assert table.read(7).count() == 7 and table.expire() == 7 and table.read().count() == 8
