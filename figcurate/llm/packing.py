@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from copy import copy
 from math import ceil
 
 import numpy as np
@@ -157,18 +158,20 @@ class Bm25:
         self.docs, self.weights = doc[order], weight[order]
         self.term, self.idf = term, np.where(df < 2, 0.0, idf)
 
+    def among(self, wanted: np.ndarray) -> Bm25:
+        """The index with the postings of the ``wanted`` documents only; weights stay as they are."""
+        out, kept = copy(self), wanted[self.docs]
+        out.docs, out.weights = self.docs[kept], self.weights[kept]
+        out.starts = np.concatenate([[0], np.cumsum(kept)])[self.starts]
+        return out
+
     def scores(self, doc: int) -> np.ndarray:
         """BM25 scores of all documents for the terms of ``doc``."""
         query = self.term[self.offsets[doc] : self.offsets[doc + 1]]
         query = query[self.idf[query] > 0]
-        if not len(query):
-            return np.zeros(self.n)
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in query]
-        return np.bincount(
-            np.concatenate([self.docs[s] for s in spans]),
-            weights=np.concatenate([self.weights[s] for s in spans]),
-            minlength=self.n,
-        )
+        first, spans = self.starts[query], self.starts[query + 1] - self.starts[query]
+        at = np.repeat(first - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+        return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.n)
 
 
 SEED, NEIGHBOUR, REST, WHOLE = range(4)
@@ -187,14 +190,17 @@ def _ranked(score: np.ndarray, first: int = 32) -> Iterator[int]:
         yield from part[np.argsort(-score[part], kind="stable")].tolist()
 
 
-def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.ndarray]:
-    """The container of every item and how it came in; items are no larger than the capacity."""
+def fill(sizes: np.ndarray, items: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.ndarray]:
+    """The container of every document of ``items`` (-1 for others) and how it came in; none is larger than the capacity."""
     n = len(sizes)
     container = np.full(n, -1, dtype=np.int64)
     role = np.full(n, REST, dtype=np.int8)
-    unused = np.ones(n, dtype=bool)
+    unused = np.zeros(n, dtype=bool)
+    unused[items] = True
+    left = held = len(items)
+    index = index.among(unused)
     by_size: dict[int, list[int]] = {}
-    for i in np.argsort(-np.arange(n)):
+    for i in np.sort(items)[::-1]:
         by_size.setdefault(int(sizes[i]), []).append(int(i))
     available = sorted(by_size)
 
@@ -204,6 +210,8 @@ def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.
             del available[bisect_right(available, size) - 1]
         unused[i] = False
         container[i] = number
+        nonlocal left
+        left -= 1
 
     number = 0
     while available:
@@ -213,6 +221,8 @@ def fill(sizes: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.
         role[seed] = SEED
         room = capacity - size
         if available and room >= available[0] and size > 0:
+            if left < 0.75 * held:  # postings of used documents are left behind from time to time
+                index, held = index.among(unused), left
             score = index.scores(seed)
             score[~(unused & (sizes <= room))] = 0.0
             for i in _ranked(score):
@@ -253,8 +263,7 @@ def pack(items: DataFrame, specs: DataFrame, n_documents: int, shard: int = SHAR
             rest = tokens - whole * capacity
             packed = (whole == 0) | (rest > 0)  # a document of exactly so many containers leaves nothing to pack
             which = np.flatnonzero(packed)
-            sizes = np.where(packed, rest, capacity + 1)
-            container, role = _fill_some(sizes, which, capacity, index)
+            container, role = fill(rest, which, capacity, index)
             first = int(container.max(initial=-1)) + 1
             full = np.repeat(np.arange(len(tokens)), whole)
             piece = np.arange(len(full)) - np.repeat(np.cumsum(whole) - whole, whole)
@@ -295,25 +304,6 @@ def with_shards(items: DataFrame, shards: int) -> DataFrame:
     return items.join(F.broadcast(cells), "cell").withColumn("shard", shard).drop("in_cell", "before", "total", "cell")
 
 
-def _fill_some(sizes: np.ndarray, which: np.ndarray, capacity: int, index: Bm25) -> tuple[np.ndarray, np.ndarray]:
-    """``fill`` for the items of ``which``; the others get no container."""
-    if len(which) == len(sizes):
-        return fill(sizes, capacity, index)
-    held, role = np.full(len(sizes), -1, dtype=np.int64), np.full(len(sizes), WHOLE, dtype=np.int8)
-    held[which], role[which] = fill(sizes[which], capacity, _Subset(index, which))
-    return held, role
-
-
-class _Subset:
-    """The index seen from a subset of its documents."""
-
-    def __init__(self, index: Bm25, which: np.ndarray):
-        self.index, self.which = index, which
-
-    def scores(self, doc: int) -> np.ndarray:
-        return self.index.scores(int(self.which[doc]))[self.which]
-
-
 def utilisation(packed: DataFrame, specs: DataFrame) -> DataFrame:
     """(spec_id, capacity_tokens, n_containers, n_tokens, fill, with_neighbour) of a packing.
 
