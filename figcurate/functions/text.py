@@ -6,7 +6,10 @@ space and decimal digits are kept (Java's are narrower), see ``ids.PYWS``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,32 +48,29 @@ def clean_text(col: Column) -> Column:
 # licences
 
 
-def canonical_license(col: Column) -> Column:
-    """The licence code a free text names; the upper-cased text if it names none, null for null and blank.
+#: (code, texts that name it as a whole, marks that name it anywhere), tried in order; the most restrictive codes come first.
+LICENSE_RULES = (
+    (NO_LICENSE, NO_LICENSE_WORDS, (NO_LICENSE,)),
+    ("TDM", ("TDM",), ()),
+    *((code, (), marks) for code, marks in LICENSE_MARKERS),
+)
 
-    Markers are looked for anywhere in the text and tried in order, so the most restrictive code wins.
-    """
+
+def canonical_license(col: Column) -> Column:
+    """The licence code a free text names; the upper-cased text if it names none, null for null and blank."""
     upper = F.replace(F.regexp_replace(F.upper(strip(col)), f"{PYWS}+", " "), F.lit("_"), F.lit("-"))
     out = F.when(upper == "", F.lit(None).cast("string"))
-    out = out.when(upper.contains(NO_LICENSE) | upper.isin(*NO_LICENSE_WORDS), F.lit(NO_LICENSE))
-    for code, markers in LICENSE_MARKERS:
-        found = upper.contains(markers[0])
-        for marker in markers[1:]:
-            found = found | upper.contains(marker)
-        out = out.when(found & (upper != "TDM"), F.lit(code))
+    for code, whole, marks in LICENSE_RULES:
+        tests = [upper.isin(*whole)] if whole else []
+        out = out.when(reduce(or_, tests + [upper.contains(mark) for mark in marks]), F.lit(code))
     return out.otherwise(upper)
 
 
 def canonical_license_text(value: str | None) -> str | None:
-    """The same rule for one value on the driver or in a parser."""
-    text = " ".join((value or "").split()).upper().replace("_", "-")
-    if not text:
-        return None
-    if NO_LICENSE in text or text in NO_LICENSE_WORDS:
-        return NO_LICENSE
-    if text == "TDM":
-        return text
-    return next((code for code, markers in LICENSE_MARKERS if any(m in text for m in markers)), text)
+    """What ``canonical_license`` gives for a single value, by the same rules."""
+    spelled = re.sub(r"\s+", " ", (value or "").strip()).upper().translate({ord("_"): "-"})
+    named = (code for code, whole, marks in LICENSE_RULES if spelled in whole or any(mark in spelled for mark in marks))
+    return next(named, spelled or None)
 
 
 def allowed_licenses(value: str | Iterable[str] | None) -> frozenset[str]:
@@ -96,6 +96,13 @@ def pmcid_anywhere(col: Column) -> Column:
     return F.when(found != "", F.upper(found)).when(digits != "", F.concat(F.lit("PMC"), digits))
 
 
+def pmcid_of(value: str | None) -> str:
+    """What ``pmcid_anywhere`` gives for a single value; empty if it has no digits."""
+    word = re.search(r"\bPMC\d+\b", value or "", re.IGNORECASE)
+    number = "".join(filter(str.isdecimal, value or ""))
+    return word[0].upper() if word else number and f"PMC{number}"
+
+
 def pmcid_prefix(col: Column) -> Column:
     """The first ``PMC`` and digits in a text, whatever stands around them; empty if there is none."""
     return F.coalesce(F.regexp_extract(F.upper(strip(col)), r"PMC\p{Nd}+", 0), F.lit(""))
@@ -244,17 +251,29 @@ def caption_prompt(caption: Column, panels: Column, image_token: str | None = IM
 
 def unfenced(prediction: Column) -> Column:
     """A prediction without white space at its ends and without a code fence around two lines or more."""
-    text = F.coalesce(strip(prediction), F.lit(""))
-    inner = F.regexp_extract(text, r"(?s)^```[^\n]*\n(.*\n)?[^\n]*```$", 1)
-    fenced = text.rlike(r"(?s)^```[^\n]*\n(.*\n)?[^\n]*```$")
-    return F.when(fenced, strip(inner)).otherwise(text)
+
+    def bare(text: Column) -> Column:
+        first = F.instr(text, "\n")
+        after_last = F.instr(F.reverse(text), "\n")
+        inner = F.substring(text, first + 1, F.greatest(F.length(text) - after_last - first, F.lit(0)))
+        fenced = text.startswith("```") & text.endswith("```") & (first > 0)
+        return F.when(fenced, strip(inner)).otherwise(text)
+
+    return _once(F.coalesce(strip(prediction), F.lit("")), bare)
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def subcaptions(prediction: Column) -> Column:
     """The parts of a prediction, stripped; blank parts are kept, a blank prediction has none."""
-    text = unfenced(prediction)
-    parts = F.transform(F.split(text, r"\|\|", -1), strip)
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(parts)
+
+    def parts(text: Column) -> Column:
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(text, r"\|\|", -1), strip))
+
+    return _once(unfenced(prediction), parts)
 
 
 def prediction_status(parts: Column, expected: Column, finish_reason: Column) -> Column:

@@ -1,13 +1,12 @@
 """Models as plug-ins: scorers run on Arrow batches, request backends run with fault isolation.
 
-A *scorer* takes a list of inputs and returns a list of equally many scores.  A *backend* takes a list of requests and returns
-results by request id.  Both are made in the worker by a factory, once per task, so models never travel with the plan.
+A *scorer* takes a list of inputs and returns a list of equally many scores.  A *backend* takes a list of rows and returns
+answers by request id.  Both are made in the worker by a factory, once per task, so models never travel with the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import pandas as pd
@@ -20,27 +19,9 @@ class Scorer(Protocol):
     def __call__(self, inputs: list[Any]) -> list[float | None]: ...
 
 
-@dataclass(frozen=True)
-class Request:
-    request_id: str
-    prompt: str
-    image_paths: tuple[str, ...] = ()
-
-    @property
-    def image_count(self) -> int:
-        return len(self.image_paths)
-
-
-@dataclass
-class Result:
-    request_id: str
-    text: str = ""
-    error: str = ""
-    metadata: dict[str, Any] = field(default_factory=dict)
-
-
-class Backend(Protocol):
-    def __call__(self, requests: list[Request], max_new_tokens: int | None) -> list[Result]: ...
+#: Asks a list of (request_id, prompt, image_paths) rows at once; gives what it knows by request id: text, finish_reason and
+#: generate_token_len, or error.
+Backend = Callable[[list[dict[str, Any]], int | None], dict[str, dict[str, Any]]]
 
 
 def with_scores(
@@ -80,21 +61,40 @@ def with_scores(
     return scored.withColumns({score: F.col("_scored.score"), error: F.col("_scored.error")}).drop("_scored")
 
 
-def isolated(backend: Backend, requests: list[Request], max_new_tokens: int | None = None) -> list[Result]:
-    """Results of all requests in their order; a batch that fails, or leaves requests out, is halved until the culprit is alone."""
-    if not requests:
-        return []
-    try:
-        found = {r.request_id: r for r in backend(requests, max_new_tokens)}
-        missing = [r.request_id for r in requests if r.request_id not in found]
-        if missing:
-            raise LookupError(f"no result for {missing[0]}")
-        return [found[r.request_id] for r in requests]
-    except Exception as e:
-        if len(requests) == 1:
-            return [Result(requests[0].request_id, error=f"{type(e).__name__}: {e}")]
-        half = len(requests) // 2
-        return isolated(backend, requests[:half], max_new_tokens) + isolated(backend, requests[half:], max_new_tokens)
+def answers(backend: Backend, rows: list[dict[str, Any]], max_new_tokens: int | None = None) -> dict[str, dict[str, Any]]:
+    """What the backend gives for every row, by request id.
+
+    Rows are asked together; those that a call leaves out are asked again by themselves, one at a time, so what fails takes no
+    other with it and what was answered is not asked twice.  A row that fails alone has only an error.
+    """
+    found: dict[str, dict[str, Any]] = {}
+    work = [rows] if rows else []
+    while work:
+        part = work.pop()
+        problem = ""
+        try:
+            given = backend(part, max_new_tokens)
+            found |= {row["request_id"]: given[row["request_id"]] for row in part if row["request_id"] in given}
+        except Exception as e:
+            problem = f"{type(e).__name__}: {e}"
+        left = [row for row in part if row["request_id"] not in found]
+        if len(part) > 1:
+            work += [[row] for row in left]
+        elif left:
+            found[left[0]["request_id"]] = {"error": problem or f"LookupError: no result for {left[0]['request_id']}"}
+    return found
+
+
+def per_request(answer: Callable[[str, list[str]], str]) -> Backend:
+    """A backend from a function of prompt and image paths; an exception is that request's error."""
+
+    def one(row: dict[str, Any]) -> dict[str, Any]:
+        try:
+            return {"text": answer(row["prompt"], row["image_paths"])}
+        except Exception as e:
+            return {"error": f"{type(e).__name__}: {e}"}
+
+    return lambda rows, max_new_tokens: {row["request_id"]: one(row) for row in rows}
 
 
 RESULT_SCHEMA = (
@@ -116,33 +116,32 @@ def with_predictions(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = factory()
         for batch in batches:
-            rows = batch.to_pylist()
-            asked = [Request(r["request_id"], r["prompt"] or "", tuple(r["image_paths"] or ())) for r in rows]
-            out = []
-            for k in range(0, len(asked), batch_size):
-                part = asked[k : k + batch_size]
-                first = isolated(backend, part, max_new_tokens)
-                cut = [r for r, x in zip(part, first, strict=True) if retry_tokens and x.metadata.get("finish_reason") == "length"]
-                second = {x.request_id: x for x in isolated(backend, cut, retry_tokens)} if cut else {}
-                for x in first:
-                    y = second.get(x.request_id, x)
-                    again = x.request_id in second
-                    out.append(
-                        {
-                            "request_id": y.request_id, "text": y.text, "error": y.error,
-                            "finish_reason": y.metadata.get("finish_reason"),
-                            "generate_token_len": y.metadata.get("generate_token_len"),
-                            "max_new_tokens": retry_tokens if again else max_new_tokens,
-                            "attempts": 2 if again else 1,
-                            "initial_finish_reason": x.metadata.get("finish_reason"),
-                            "initial_token_len": x.metadata.get("generate_token_len"),
-                        }
-                    )
-            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+            rows = [{**r, "prompt": r["prompt"] or "", "image_paths": r["image_paths"] or []} for r in batch.to_pylist()]
+            first: dict[str, dict[str, Any]] = {}
+            again: dict[str, dict[str, Any]] = {}
+            for k in range(0, len(rows), batch_size):
+                part = rows[k : k + batch_size]
+                got = answers(backend, part, max_new_tokens)
+                first |= got
+                if retry_tokens:
+                    cut = [r for r in part if got[r["request_id"]].get("finish_reason") == "length"]
+                    again |= answers(backend, cut, retry_tokens)
+            yield pa.RecordBatch.from_pylist([_row(r["request_id"], first, again, max_new_tokens, retry_tokens) for r in rows], schema=_ARROW)
 
     return requests.select("request_id", "prompt", "image_paths").mapInArrow(run, RESULT_SCHEMA)
 
 
+def _row(name: str, first: dict, again: dict, limit: int | None, retry_limit: int | None) -> dict[str, Any]:
+    """The last answer to a request beside the facts of the first."""
+    last, asked_again = again.get(name, first[name]), name in again
+    return {
+        "request_id": name, "text": last.get("text", ""), "error": last.get("error", ""), "finish_reason": last.get("finish_reason"),
+        "generate_token_len": last.get("generate_token_len"), "max_new_tokens": retry_limit if asked_again else limit,
+        "attempts": 1 + asked_again, "initial_finish_reason": first[name].get("finish_reason"),
+        "initial_token_len": first[name].get("generate_token_len"),
+    }
+
+
 _ARROW = pa.schema(
     [
         ("request_id", pa.string()), ("text", pa.string()), ("error", pa.string()), ("finish_reason", pa.string()),
@@ -150,18 +149,3 @@ _ARROW = pa.schema(
         ("initial_finish_reason", pa.string()), ("initial_token_len", pa.int64()),
     ]
 )
-
-
-def callable_backend(runner: Callable[[str, list[str]], str]) -> Backend:
-    """A backend from a function of prompt and image paths; an exception is that request's error."""
-
-    def run(requests: list[Request], max_new_tokens: int | None) -> list[Result]:
-        out = []
-        for r in requests:
-            try:
-                out.append(Result(r.request_id, runner(r.prompt, list(r.image_paths))))
-            except Exception as e:
-                out.append(Result(r.request_id, error=f"{type(e).__name__}: {e}"))
-        return out
-
-    return run

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Iterator
 from typing import IO
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame
 
+from figcurate.sources.files import on_any_files
 from figcurate.sources.images import digests_match
 
 #: An opener takes an address and a start offset; it returns the offset at which its stream really starts, and the stream.
@@ -30,34 +31,42 @@ def download(url: str, target: str, opener: Opener = http_opener, overwrite: boo
     An existing target with the expected digest is reused.  A server that ignores the range starts over; one that has nothing
     beyond the partial file means the file is whole.
     """
-    if os.path.exists(target) and not overwrite:
+    files, own = on_any_files(target)
+
+    def size(path: str) -> int | None:
+        info = files.get_file_info(path)
+        return info.size if info.type == FileType.File else None
+
+    if size(own) is not None and not overwrite:
         found = file_md5(target)
         if digests_match(found, md5):
             return "reused", found
-    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
-    part = target + ".part"
-    if overwrite and os.path.exists(part):
-        os.unlink(part)
-    start = os.path.getsize(part) if os.path.exists(part) else 0
+    if "/" in own.strip("/"):
+        files.create_dir(own.rpartition("/")[0], recursive=True)
+    part = own + ".part"
+    if overwrite and size(part) is not None:
+        files.delete_file(part)
+    start = size(part) or 0
     try:
         offset, stream = opener(url, start)
-        with stream, open(part, "ab" if offset else "wb") as out:
+        with stream, (files.open_append_stream if offset else files.open_output_stream)(part, compression=None) as out:
             while block := stream.read(chunk):
                 out.write(block)
     except HTTPError as e:
         if e.code != 416 or not start:
             raise
-    found = file_md5(part)
+    found = file_md5(target + ".part")
     if not digests_match(found, md5):
-        os.unlink(part)
+        files.delete_file(part)
         raise ValueError(f"digest {found} instead of {md5}")
-    os.replace(part, target)
+    files.move(part, own)
     return "downloaded", found
 
 
 def file_md5(path: str, chunk: int = 1 << 20) -> str:
     value = hashlib.md5(usedforsecurity=False)
-    with open(path, "rb") as f:
+    files, own = on_any_files(path)
+    with files.open_input_stream(own, compression=None) as f:
         while block := f.read(chunk):
             value.update(block)
     return value.hexdigest()
@@ -73,7 +82,7 @@ def fetched(wanted: DataFrame, root: str, opener: Opener = http_opener) -> DataF
             rows = []
             for url, target, md5 in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 try:
-                    how, found = download(url, os.path.join(root, target), opener, md5=md5 or "")
+                    how, found = download(url, f"{root.rstrip('/')}/{target}", opener, md5=md5 or "")
                     rows.append((url, target, how, found, ""))
                 except Exception as e:
                     rows.append((url, target, "failed", None, f"{type(e).__name__}: {e}"))

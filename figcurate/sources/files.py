@@ -5,9 +5,15 @@ Only control files (snapshots, tokens) and listings pass through the driver; dat
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
+def on_any_files(place: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or address and the path in it, for work in Python tasks, which have no access to Hadoop's API."""
+    return fs.FileSystem.from_uri(place) if ":/" in place else (fs.LocalFileSystem(), place)
+
+
 class Files:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark.sparkContext._jvm

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from figcurate.functions.text import canonical_license_text
+from figcurate.functions.text import canonical_license_text, pmcid_of
 from figcurate.schemas import FIGURE_TEXT
 
 #: Floating objects whose text does not belong to the paragraph around them (fixed values).
@@ -133,12 +133,6 @@ def article_license(root: ET.Element) -> str:
     return next((code for s in stated if (code := canonical_license_text(s))), "")
 
 
-def _pmcid(value: str | None) -> str:
-    found = re.search(r"\bPMC\d+\b", value or "", re.I)
-    digits = re.sub(r"\D", "", value or "")
-    return found.group().upper() if found else f"PMC{digits}" if digits else ""
-
-
 def _caption(node: ET.Element) -> str:
     """The titles and paragraphs that lie in no other title or paragraph, else the whole text."""
     blocks: list[str] = []
@@ -182,7 +176,7 @@ def figures_of(content: bytes, source: str = "", metadata: dict | None = None, r
     """
     root, how = article_tree(content)
     given = {k: v for k, v in (metadata or {}).items() if v}
-    pmcid = _pmcid(given.get("pmcid")) or _pmcid(given.get("accession_id")) or _pmcid(_article_id(root, "pmcid", "pmc"))
+    pmcid = next(filter(None, map(pmcid_of, (given.get("pmcid"), given.get("accession_id"), _article_id(root, "pmcid", "pmc")))), "")
     version = next((given[k] for k in ("article_version", "versioned_pmcid", "pmcid_ver") if k in given), "") or _article_id(
         root, "pmcid-ver", "pmc-version", "pmcid-version"
     )

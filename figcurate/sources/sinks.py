@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from figcurate.schemas import conform
+from figcurate.sources.files import Files
 
 ROWS_PER_FILE = 10_000
 
@@ -23,7 +23,7 @@ def write_table(df: DataFrame, path: str, schema: T.StructType | None = None, ro
 def write_routes(routes: dict[str, DataFrame], path: str, schema: T.StructType | None = None) -> None:
     """One table per route below a folder."""
     for name, df in routes.items():
-        write_table(df, os.path.join(path, name), schema)
+        write_table(df, f"{path.rstrip('/')}/{name}", schema)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -32,7 +32,7 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_jsonl(spark: SparkSession, path: str, key: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines by key, the last of equal keys in order of file and line; a missing folder is empty (with a schema)."""
-    if not os.path.exists(path):
+    if not Files(spark, path).exists(""):
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
@@ -46,19 +46,17 @@ def read_jsonl(spark: SparkSession, path: str, key: str, schema: T.StructType |
 def write_summary(df: DataFrame, path: str) -> dict:
     """The single row of an aggregate as an indented JSON file; returns it."""
     value = df.first().asDict(recursive=True)
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path + ".tmp", "w", encoding="utf-8") as f:
-        json.dump(value, f, indent=2, ensure_ascii=False, default=str)
-    os.replace(path + ".tmp", path)
+    folder, _, name = path.rpartition("/")
+    Files(df.sparkSession, folder or ".").replace(name, json.dumps(value, indent=2, ensure_ascii=False, default=str))
     return value
 
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
     """The ``part-*.parquet`` files of a folder, else all Parquet files below it; FileNotFoundError if there are none."""
-    own = [n for n in os.listdir(path) if n.startswith("part-") and n.endswith(".parquet")] if os.path.isdir(path) else []
-    if own:
+    files = Files(spark, path)
+    if any(n.startswith("part-") and n.endswith(".parquet") for n in files.names("")):
         return spark.read.option("mergeSchema", True).option("pathGlobFilter", "part-*.parquet").parquet(path)
-    if any(n.endswith(".parquet") for _, _, names in os.walk(path) for n in names):
+    if files.walk("", ".parquet"):
         return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
     raise FileNotFoundError(f"no Parquet files under {path}")
 
@@ -78,10 +76,9 @@ def check_settings(existing: DataFrame, **wanted: object) -> None:
                 raise OtherSettings(f"{name}: {row[name]!r} in the output, {wanted[name]!r} wanted")
 
 
-def same_settings(path: str, **wanted: object) -> bool:
+def same_settings(spark: SparkSession, path: str, **wanted: object) -> bool:
     """Whether a summary file exists and records the wanted settings."""
-    if not os.path.exists(path):
-        return False
-    with open(path, encoding="utf-8") as f:
-        found = json.load(f)
-    return all(found.get(k) == v for k, v in wanted.items())
+    folder, _, name = path.rpartition("/")
+    files = Files(spark, folder or ".")
+    found = json.loads(files.read(name)) if files.exists(name) else None
+    return found is not None and all(found.get(k) == v for k, v in wanted.items())

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from figcurate import cli, schemas
-from figcurate.operators import candidates, scoring
+from figcurate.operators import candidates
 from figcurate.plans import pipelines
 from tests.test_sources import ARTICLE
 
@@ -65,14 +65,14 @@ def stand_in():
     """A factory of a backend; defined inside, so that workers need not import this module."""
 
     def backend(requests, limit):
-        if any(r.request_id == "bad" for r in requests):
+        if any(r["request_id"] == "bad" for r in requests):
             raise RuntimeError("out of memory")
-        out = []
+        out = {}
         for r in requests:
-            assert list(r.image_paths) == [f"{r.request_id}.png", f"{r.request_id}_0.png", f"{r.request_id}_1.png"]
-            cut = r.request_id == "cut" and limit < 1000
-            text = "first || sec" if cut else "first || second"
-            out.append(scoring.Result(r.request_id, text, metadata={"finish_reason": "length" if cut else "stop"}))
+            name = r["request_id"]
+            assert r["image_paths"] == [f"{name}.png", f"{name}_0.png", f"{name}_1.png"]
+            cut = name == "cut" and limit < 1000
+            out[name] = {"text": "first || sec" if cut else "first || second", "finish_reason": "length" if cut else "stop"}
         return out
 
     return lambda: backend

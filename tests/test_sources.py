@@ -166,7 +166,7 @@ def test_sinks(spark, tmp_path):
     assert sinks.read_jsonl(spark, str(tmp_path / "no"), "k", "k string").count() == 0
     got = sinks.write_summary(rows.agg(F.count("*").alias("n"), F.lit("é").alias("s")), str(tmp_path / "s.json"))
     assert got["n"] == 25 and "é" in (tmp_path / "s.json").read_text()
-    assert sinks.same_settings(str(tmp_path / "s.json"), n=25) and not sinks.same_settings(str(tmp_path / "s.json"), n=1)
+    assert sinks.same_settings(spark, str(tmp_path / "s.json"), n=25) and not sinks.same_settings(spark, str(tmp_path / "s.json"), n=1)
     sinks.check_settings(rows.withColumn("threshold", F.lit(0.5)), threshold=0.5, other=1)
     with pytest.raises(sinks.OtherSettings):
         sinks.check_settings(rows.withColumn("threshold", F.lit(0.5)), threshold=0.6)
@@ -189,37 +189,41 @@ def test_scorers_isolate_bad_inputs(spark):
     assert [e for _, e in got] == ["", "RuntimeError: no", "", ""]
 
 
-def test_backends_are_halved_around_a_failure():
+def test_failures_are_kept_apart():
     calls = []
 
-    def backend(requests, limit):
-        calls.append([r.request_id for r in requests])
-        if any(r.request_id == "bad" for r in requests):
+    def backend(rows, limit):
+        names = [r["request_id"] for r in rows]
+        calls.append(names)
+        if "bad" in names:
             raise RuntimeError("x")
-        return [scoring.Result(r.request_id, "ok") for r in requests if r.request_id != "lost"]
+        return {n: {"text": "ok"} for n in names if n != "lost"}
 
-    asked = [scoring.Request(n, "") for n in ("g1", "bad", "g2", "lost")]
-    got = scoring.isolated(backend, asked)
-    assert [(r.request_id, bool(r.error)) for r in got] == [("g1", False), ("bad", True), ("g2", False), ("lost", True)]
-    assert calls[0] == ["g1", "bad", "g2", "lost"] and scoring.isolated(backend, []) == []
-    run = scoring.callable_backend(lambda prompt, paths: prompt.upper() if prompt else 1 / 0)
-    assert [r.text or r.error for r in run([scoring.Request("a", "x"), scoring.Request("b", "")], None)] == ["X", "ZeroDivisionError: division by zero"]
+    got = scoring.answers(backend, [{"request_id": n} for n in ("g1", "bad", "g2", "lost")])
+    assert {n: (a.get("text"), a.get("error")) for n, a in got.items()} == {
+        "g1": ("ok", None), "bad": (None, "RuntimeError: x"), "g2": ("ok", None), "lost": (None, "LookupError: no result for lost"),
+    }
+    assert calls[0] == ["g1", "bad", "g2", "lost"] and scoring.answers(backend, []) == {}
+    calls.clear()
+    scoring.answers(backend, [{"request_id": n} for n in ("g1", "g2", "lost")])
+    assert calls == [["g1", "g2", "lost"], ["lost"]]  # what was answered is not asked twice
+    run = scoring.per_request(lambda prompt, paths: prompt.upper() if prompt else 1 / 0)
+    got = run([{"request_id": "a", "prompt": "x", "image_paths": []}, {"request_id": "b", "prompt": "", "image_paths": []}], None)
+    assert got == {"a": {"text": "X"}, "b": {"error": "ZeroDivisionError: division by zero"}}
 
 
 def test_cut_predictions_are_asked_again(spark):
     def factory():
-        def backend(requests, limit):
-            full = "one || two"
-            return [scoring.Result(r.request_id, full if limit > 600 or r.prompt == "short" else full[:5],
-                                   metadata={"finish_reason": "stop" if limit > 600 or r.prompt == "short" else "length", "generate_token_len": limit})
-                    for r in requests]
+        def backend(rows, limit):
+            whole = {r["request_id"]: limit > 600 or r["prompt"] == "short" for r in rows}
+            return {n: {"text": "one || two" if w else "one |", "finish_reason": "stop" if w else "length", "generate_token_len": limit} for n, w in whole.items()}
 
         return backend
 
     rows = spark.createDataFrame([("a", "long", ["p"]), ("b", "short", None)], "request_id string, prompt string, image_paths array<string>")
     got = {r.request_id: r for r in scoring.with_predictions(rows, factory, 4, 512, 1024).collect()}
     assert (got["a"].text, got["a"].attempts, got["a"].initial_finish_reason, got["a"].finish_reason) == ("one || two", 2, "length", "stop")
-    assert (got["b"].attempts, got["b"].max_new_tokens) == (1, 512)
+    assert (got["b"].attempts, got["b"].max_new_tokens, got["b"].text) == (1, 512, "one || two")
 
 
 def test_streamed_articles(spark, tmp_path):
