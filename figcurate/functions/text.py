@@ -153,12 +153,22 @@ def _raster_pattern(suffixes: Iterable[str]) -> str:
 
 def media_stem(col: Column) -> Column:
     """The file name without one known raster suffix; figure suffixes such as ``.f1`` stay."""
-    return F.regexp_replace(media_basename(col), _raster_pattern(RASTER_SUFFIXES), "")
+    return stem_of_name(media_basename(col))
+
+
+def stem_of_name(name: Column) -> Column:
+    """``media_stem`` for what ``media_basename`` gave."""
+    return F.regexp_replace(name, _raster_pattern(RASTER_SUFFIXES), "")
 
 
 def media_rank(url: Column) -> Column:
     """The place of a copy's suffix in the order of preference; others come last."""
-    suffix = F.regexp_extract(media_basename(url), r"[^.](\.[^.]+)$", 1)
+    return rank_of_name(media_basename(url))
+
+
+def rank_of_name(name: Column) -> Column:
+    """``media_rank`` for what ``media_basename`` gave."""
+    suffix = F.regexp_extract(name, r"[^.](\.[^.]+)$", 1)
     out = F.when(suffix == RASTER_SUFFIXES[0], 0)
     for rank, name in enumerate(RASTER_SUFFIXES[1:], 1):
         out = out.when(suffix == name, rank)

@@ -20,27 +20,21 @@ def first_href(hrefs: Column) -> Column:
     return F.try_element_at(F.filter(hrefs, lambda h: strip(h) != ""), F.lit(1))
 
 
-def _named_media(media: DataFrame, article: list[str]) -> DataFrame:
-    """(article, name, kind, rank, url): each media file under its full name and under its stem."""
-    given = media.where(strip(F.col("url")) != "")
+def _named(rows: DataFrame, column: str, *more: Column | str) -> DataFrame:
+    """``rows`` (columns ``more``) under the full name and under the stem of an address, as ``kind`` and ``name``."""
+    once = rows.where(strip(F.col(column)) != "").withColumn("_name", text.media_basename(F.col(column)))
     names = F.array(
-        F.struct(F.lit(0).alias("kind"), text.media_basename(F.col("url")).alias("name")),
-        F.struct(F.lit(1).alias("kind"), text.media_stem(F.col("url")).alias("name")),
+        F.struct(F.lit(0).alias("kind"), F.col("_name").alias("name")),
+        F.struct(F.lit(1).alias("kind"), text.stem_of_name(F.col("_name")).alias("name")),
     )
-    return given.select(*article, text.media_rank(F.col("url")).alias("rank"), "url", F.explode(names).alias("n")).select(
-        *article, "rank", "url", F.col("n.kind").alias("kind"), F.col("n.name").alias("name")
-    ).distinct()
+    return once.select(*more, F.explode(names).alias("_n")).select("*", "_n.kind", "_n.name").drop("_n")
 
 
-def _named_links(links: DataFrame, keys: list[str]) -> DataFrame:
-    given = links.where(strip(F.col("href")) != "")
-    names = F.array(
-        F.struct(F.lit(0).alias("kind"), text.media_basename(F.col("href")).alias("name")),
-        F.struct(F.lit(1).alias("kind"), text.media_stem(F.col("href")).alias("name")),
-    )
-    return given.select(*keys, "at", "href", F.explode(names).alias("n")).select(
-        *keys, "at", "href", F.col("n.kind").alias("kind"), F.col("n.name").alias("name")
-    )
+def _best_media(media: DataFrame, article: list[str]) -> DataFrame:
+    """(article, kind, name, rank, url): of the media files of one name the one that is preferred."""
+    named = _named(media, "url", *article, "url", text.rank_of_name(F.col("_name")).alias("rank"))
+    best = named.groupBy(*article, "kind", "name").agg(F.min(F.struct("rank", "url")).alias("best"))
+    return best.select(*article, "kind", "name", "best.rank", "best.url")
 
 
 def match_links(links: DataFrame, media: DataFrame, article: list[str], figure: list[str]) -> DataFrame:
@@ -50,7 +44,7 @@ def match_links(links: DataFrame, media: DataFrame, article: list[str], figure:
     columns and ``url``.  A full name in any link goes before a stem in any link, then the earlier link, the preferred suffix,
     and the smaller address.  Figures without a match have no row.
     """
-    met = _named_links(links, [*article, *figure]).join(_named_media(media, article), [*article, "kind", "name"])
+    met = _named(links, "href", *article, *figure, "at", "href").join(_best_media(media, article), [*article, "kind", "name"])
     best = F.min(F.struct("kind", "at", "rank", "url", "href")).alias("best")
     kind = F.when(F.col("best.kind") == 0, F.lit(BASENAME)).otherwise(F.lit(STEM))
     return met.groupBy(*article, *figure).agg(best).select(
@@ -70,11 +64,10 @@ def version_coverage(figures: DataFrame, media: DataFrame) -> DataFrame:
     ``figures``: article, figure, href (null if the figure has none); ``media``: article, version, url.
     """
     versions = media.select("article", "version").distinct()
-    links = figures.where(F.col("href").isNotNull()).select("article", "figure", "href", F.lit(0).alias("at"))
-    per_version = links.join(versions, "article")
-    found = match_links(per_version, media, ["article", "version"], ["figure"])
-    hits = found.groupBy("article", "version").agg(F.count("*").alias("coverage"))
-    return versions.join(hits, ["article", "version"], "left").select("article", "version", F.coalesce("coverage", F.lit(0)).alias("coverage"))
+    links = _named(figures.where(F.col("href").isNotNull()), "href", "article", "figure")
+    held = _named(media, "url", "article", "version").distinct()
+    found = links.join(held, ["article", "kind", "name"]).groupBy("article", "version").agg(F.countDistinct("figure").alias("coverage"))
+    return versions.join(found, ["article", "version"], "left").select("article", "version", F.coalesce("coverage", F.lit(0)).alias("coverage"))
 
 
 def resolve_versions(figures: DataFrame, media: DataFrame, declared: DataFrame) -> DataFrame:
