@@ -221,7 +221,7 @@ def fill(sizes: np.ndarray, items: np.ndarray, capacity: int, index: Bm25) -> tu
         role[seed] = SEED
         room = capacity - size
         if available and room >= available[0] and size > 0:
-            if left < 0.75 * held:  # postings of used documents are left behind from time to time
+            if left < 0.5 * held:  # postings of used documents are left behind from time to time
                 index, held = index.among(unused), left
             score = index.scores(seed)
             score[~(unused & (sizes <= room))] = 0.0
