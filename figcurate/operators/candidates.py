@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from figcurate.functions import text
+from figcurate.functions.ids import strip
 
 
 def screened(figures: DataFrame, score: str, threshold: float = 0.5, mode: str = "recursive", model: str = "") -> DataFrame:
@@ -111,6 +112,18 @@ def from_subfigures(panels: DataFrame) -> DataFrame:
     )
 
 
+def single_panel_is_eligible() -> Column:
+    """Whether a figure goes on as a candidate: its image is there and it was found to have one panel (not known does not count)."""
+    ready = (F.col("image_status") == "ready") & (F.col("detection_status") == "classified") & (F.col("is_multipanel") == F.lit(False))
+    return F.coalesce(ready & (F.col("local_image_path") != ""), F.lit(False))
+
+
+def subfigure_is_eligible() -> Column:
+    """Whether a panel goes on as a candidate: its crop is there and it has a part of the caption that is not blank."""
+    ready = (F.col("crop_status") == "ready") & (F.col("caption_alignment_status") == "aligned") & (F.col("local_panel_path") != "")
+    return F.coalesce(ready & (strip(F.col("subcaption")) != ""), F.lit(False))
+
+
 def candidates(figures: DataFrame | None, panels: DataFrame | None) -> DataFrame:
     """All candidates of one or both sources; which rows qualify is the caller's filter."""
     parts = [f(df) for f, df in ((from_single_panels, figures), (from_subfigures, panels)) if df is not None]

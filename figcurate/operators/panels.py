@@ -47,6 +47,16 @@ def panel_counts(panels: DataFrame, parent: list[str], ready: Column) -> DataFra
     return counted.withColumn("separation_status", status)
 
 
+def separation_counters(panels: DataFrame, parent: list[str], ready: Column) -> DataFrame:
+    """One row: parents, those whose panels are all ready, those with a panel that is not, panels, and panels that are ready."""
+    counted = panel_counts(panels, parent, ready)
+    return counted.agg(
+        F.count("*").alias("parents"), F.count_if(F.col("separation_status") == "separated").alias("separated"),
+        F.count_if(F.col("separation_status") != "separated").alias("failed"), F.coalesce(F.sum("panel_count"), F.lit(0)).alias("panels"),
+        F.coalesce(F.sum("ready_count"), F.lit(0)).alias("ready_panels"),
+    )
+
+
 def with_empty_parents(parents: DataFrame, counts: DataFrame, parent: list[str]) -> DataFrame:
     """Counts of every parent; those without any panel have zero."""
     return parents.join(counts, parent, "left").withColumns(

@@ -93,3 +93,8 @@ def with_status(runs: DataFrame, parent: str, status: str, wanted: list[str]) ->
     if not wanted:
         raise ValueError("no status given")
     return runs.where(F.col(status).isin(*wanted)).select(parent).distinct()
+
+
+def retry_candidates(parents: DataFrame, columns: list[str], status: str = "status") -> DataFrame:
+    """The parents of a run, resumed parts included, whose generation was cut off, with what a second try needs to know."""
+    return parents.where(F.col(status) == "generation_truncated").select(*columns)

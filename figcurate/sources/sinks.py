@@ -82,3 +82,15 @@ def same_settings(spark: SparkSession, path: str, **wanted: object) -> bool:
     files = Files(spark, folder or ".")
     found = json.loads(files.read(name)) if files.exists(name) else None
     return found is not None and all(found.get(k) == v for k, v in wanted.items())
+
+
+def resume_mode(existing: list[bool], overwrite: bool = False, resume: bool = False) -> str:
+    """What to do about the outputs of one shard, of which ``existing`` tells which are there: write, overwrite, skip, or an error.
+
+    Only a whole set of outputs is skipped; part of one, or a whole one that nothing was said about, is an error.
+    """
+    if overwrite or not any(existing):
+        return "overwrite" if any(existing) else "write"
+    if all(existing) and resume:
+        return "skip"
+    raise FileExistsError("outputs of a shard exist" if all(existing) else "only some outputs of a shard exist")

@@ -239,3 +239,42 @@ def test_missing_image_files_however_written(spark, tmp_path):
         rows.write.parquet(f"{tmp_path}/{name}.parquet")
     found = curation_queries.missing_image_files(spark, str(tmp_path))
     assert sorted(r.record_id for r in found.collect()) == [4, 5, 6, 7]
+
+
+def test_eligibility_needs_all_that_is_known(spark):
+    single = spark.createDataFrame(
+        [("ready", "classified", False, "a.jpg"), ("ready", "classified", None, "a.jpg"), ("ready", "classified", False, ""), ("ready", None, False, "a.jpg"), ("gone", "classified", False, "a.jpg"), (None, None, None, None)],
+        "image_status string, detection_status string, is_multipanel boolean, local_image_path string",
+    )
+    assert [r[0] for r in single.select(candidates.single_panel_is_eligible()).collect()] == [True] + [False] * 5
+    parts = spark.createDataFrame(
+        [("ready", "aligned", "p.png", "text"), ("ready", "aligned", "p.png", " \u3000"), ("ready", "aligned", None, "text"), ("failed", "aligned", "p.png", "text")],
+        "crop_status string, caption_alignment_status string, local_panel_path string, subcaption string",
+    )
+    assert [r[0] for r in parts.select(candidates.subfigure_is_eligible()).collect()] == [True, False, False, False]
+
+
+def test_articles_are_acquired_by_their_latest_version(spark):
+    from figcurate.sources import articles
+
+    wanted = spark.createDataFrame([(f"PMC{i}",) for i in (1, 2, 3, 4, 4)], "pmcid string")
+    listed = spark.createDataFrame([("PMC1", 1), ("PMC1", 12), ("PMC2", 1), ("PMC4", 3), ("PMC9", 1), ("PMC3", None)], "pmcid string, version bigint")
+    about = spark.createDataFrame(
+        [("PMC1", 1, "CC BY", True), ("PMC1", 12, "cc-by 4.0: CC BY", False), ("PMC2", 1, "CC BY", True), ("PMC4", 3, "CC BY-ND", None)],
+        "pmcid string, version bigint, license string, retracted boolean",
+    )
+    got = {r.pmcid: (r.version, r.status) for r in articles.acquired(wanted, listed, about).collect()}
+    assert got == {"PMC1": (12, "downloaded"), "PMC2": (1, "retracted"), "PMC3": (None, "not_pmc_open_access"), "PMC4": (3, "license_not_allowed")}
+    assert articles.acquired(wanted.limit(0), listed, about).count() == 0
+
+
+def test_counters_of_an_empty_run_and_resumed_shards(spark):
+    from figcurate.sources import sinks
+
+    none = spark.createDataFrame([], "parent string, ok boolean")
+    assert tuple(panels.separation_counters(none, ["parent"], F.col("ok")).first()) == (0, 0, 0, 0, 0)
+    assert sinks.resume_mode([False] * 3) == "write" and sinks.resume_mode([True, False, True], overwrite=True) == "overwrite"
+    assert sinks.resume_mode([True] * 3, resume=True) == "skip"
+    for existing, resume in (([True, False, True], True), ([True] * 3, False)):
+        with pytest.raises(FileExistsError):
+            sinks.resume_mode(existing, resume=resume)

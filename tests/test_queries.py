@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from figcurate.plans import curation_queries, data_queries
+from figcurate.plans import curation_queries, data_queries, stage_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NAMES = [*data_queries.QUERIES, *curation_queries.QUERIES]
+NAMES = [*data_queries.QUERIES, *curation_queries.QUERIES, *stage_queries.QUERIES]
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
