@@ -1,4 +1,4 @@
-"""Near-duplicate texts by a parity-sketch join, exact for the stated similarity.
+"""Near-duplicate texts by a join on bits of parity sketches, exact for the stated similarity.
 
 Two texts are alike if the words they share, counted with repetition, make up at least ``similarity`` of the words of the longer
 one.  Each occurrence of a word (word and how often it came before) is XOR-hashed to one position of a sketch of 2**64 bits,
@@ -7,9 +7,14 @@ Hamming distance of two sketches never exceeds the symmetric difference of the t
 
 *Pigeonhole.*  Texts of n words that are alike differ in at most n - ceil(similarity * n) set bits on either side.  So among
 the n - ceil(similarity * n) + k set bits that come first in a fixed order of all bits, they have at least k in common.  The
-order is by rarity in the corpus.  Each text emits combinations of up to k of these bits, as short as they are rare enough, and
-texts of a fitting size band meet on equal combinations; so the number of meetings stays in proportion to the corpus although
-its vocabulary does not grow.  (Two bits of one text that fall together are at odds of 1 in 2**50 or so and ignored.)
+order is by rarity in the corpus.  Each text emits combinations of up to k of these bits, as short as they are rare enough in its
+size band, and texts of a fitting band meet on equal combinations; so the number of meetings stays in proportion to the corpus
+although its vocabulary does not grow.  (Two bits of one text that fall together are at odds of 1 in 2**50 or so and ignored.)
+
+The holes are thus chosen bits and not fixed segments of the sketch.  Of 2 * (n - ceil(similarity * n)) + 1 fixed segments one
+has to agree, which is as exact, but at a similarity of 0.8 a segment has two or three words, mostly frequent ones: measured on
+126 000 captions, 28 segments a text would meet 475 000 others each, and if three segments have to agree there are 2 200
+combinations a text, against 148 here.
 
 *Verify.*  Meeting texts are compared by the dense sketches first, then by their full lists of set bits.
 

@@ -142,6 +142,17 @@ def test_copies_in_bulk_and_summary(spark):
     assert found(spark, [(1, None)], 45) == set()
 
 
+def test_no_join_of_the_search_is_broadcast(spark):
+    """Spark underestimates rows made in workers and lists of bits; a broadcast would send the whole table to the driver."""
+    texts = [(i, " ".join(f"w{(i * 7 + k * k) % 900}" for k in range(60))) for i in range(400)]
+    rows = spark.createDataFrame(texts, "id bigint, text string")
+    members, links = N.near_duplicate_classes(rows)
+    for out in (N.near_duplicate_pairs(members, links), N.duplicate_summary(members, links)):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
+
+
 def test_sketches_bound_the_difference():
     r = np.random.default_rng(0)
     words = [f"w{k}" for k in range(50)]
