@@ -6,11 +6,12 @@ import hashlib
 from collections.abc import Callable, Iterator
 from typing import IO
 from urllib.error import HTTPError
+from urllib.parse import urlsplit
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
 from pyarrow.fs import FileType
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from figcurate.sources.files import on_any_files
 from figcurate.sources.images import digests_match
@@ -92,3 +93,18 @@ def fetched(wanted: DataFrame, root: str, opener: Opener = http_opener) -> DataF
     return wanted.select("url", "target", "expected_md5").mapInArrow(
         run, "url string, target string, status string, md5 string, error string"
     )
+
+
+def bulk_pair(spark: SparkSession, archive_url: str, list_url: str, folder: str, opener: Opener = http_opener) -> dict[str, str]:
+    """Fetch an archive and its file list under the last names in their addresses; (url -> path).
+
+    ValueError if an address ends in no name, before anything is fetched; RuntimeError if a download fails.
+    """
+    names = {url: urlsplit(url).path.rpartition("/")[2] for url in (archive_url, list_url)}
+    if not all(names.values()):
+        raise ValueError(f"no file name at the end of {next(u for u, n in names.items() if not n)}")
+    wanted = spark.createDataFrame([(u, n, None) for u, n in names.items()], "url string, target string, expected_md5 string").repartition(2)
+    for row in fetched(wanted, folder, opener).collect():  # two rows
+        if row.error:
+            raise RuntimeError(f"{row.url}: {row.error}")
+    return {u: f"{folder.rstrip('/')}/{n}" for u, n in names.items()}

@@ -20,7 +20,7 @@ def image_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_header(data: bytes) -> tuple[int, int, str, str]:
     """(width, height, format, mode); raises ValueError for what is no image or has no area."""
-    found = _png(data) or _gif(data) or _bmp(data) or _jpeg(data)
+    found = _png(data) or _gif(data) or _bmp(data) or _jpeg(data) or _tiff(data) or _webp(data)
     if not found:
         raise ValueError("unknown image format")
     if found[0] < 1 or found[1] < 1:
@@ -66,6 +66,37 @@ def _jpeg(data: bytes) -> tuple[int, int, str, str] | None:
     return None
 
 
+def _tiff(data: bytes) -> tuple[int, int, str, str] | None:
+    """The tags of the first image: width, height, bits, photometric kind and samples of a pixel."""
+    order = {b"II*\0": "<", b"MM\0*": ">"}.get(data[:4])
+    if order is None:
+        return None
+    (at,) = struct.unpack_from(f"{order}I", data, 4)
+    (count,) = struct.unpack_from(f"{order}H", data, at)
+    tags = {}
+    for k in range(count):
+        tag, kind, _ = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
+        if kind in (3, 4):
+            (tags[tag],) = struct.unpack_from(f"{order}{'H' if kind == 3 else 'I'}", data, at + 10 + 12 * k)
+    mode = {3: "P", 5: "CMYK"}.get(tags.get(262), {1: "L", 3: "RGB", 4: "RGBA"}.get(tags.get(277, 1), "?"))
+    return tags.get(256, 0), tags.get(257, 0), "TIFF", mode
+
+
+def _webp(data: bytes) -> tuple[int, int, str, str] | None:
+    """Sizes of the extended, lossless and lossy forms, which count from one less in the first two."""
+    if data[:4] != b"RIFF" or data[8:12] != b"WEBP" or len(data) < 30:
+        return None
+    form = data[12:16]
+    if form == b"VP8X":
+        width, height = (int.from_bytes(data[k : k + 3], "little") + 1 for k in (24, 27))
+        return width, height, "WEBP", "RGBA" if data[20] & 0x10 else "RGB"
+    if form == b"VP8L":
+        bits = int.from_bytes(data[21:25], "little")
+        return (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1, "WEBP", "RGBA" if bits >> 28 & 1 else "RGB"
+    width, height = struct.unpack_from("<HH", data, 26)
+    return width & 0x3FFF, height & 0x3FFF, "WEBP", "RGB"
+
+
 def inspected(files: DataFrame) -> DataFrame:
     """(path, width, height, format, mode, error) of (path, content) files; an unreadable file has an error."""
     schema = "path string, width int, height int, format string, mode string, error string"

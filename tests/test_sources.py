@@ -237,3 +237,42 @@ def test_streamed_articles(spark, tmp_path):
         stream_articles(spark, str(folder), *paths).awaitTermination()
     assert spark.read.parquet(paths[0]).count() == 4  # each article once
     assert sorted(n for n in os.listdir(paths[0]) if n.startswith("batch")) == ["batch=0", "batch=1"]
+
+
+def test_tiff_and_webp_headers():
+    import struct
+
+    from figcurate.sources.images import read_header
+
+    tags = [(256, 3, 640), (257, 4, 480), (262, 3, 2), (277, 3, 3)]
+    for order, magic in (("<", b"II*\0"), (">", b"MM\0*")):
+        body = b"".join(struct.pack(f"{order}HHI", t, k, 1) + (struct.pack(f"{order}HH", v, 0) if k == 3 else struct.pack(f"{order}I", v)) for t, k, v in tags)
+        assert read_header(magic + struct.pack(f"{order}IH", 8, len(tags)) + body) == (640, 480, "TIFF", "RGB")
+    riff = b"RIFF\0\0\0\0WEBP"
+    extended = riff + b"VP8X\x0a\0\0\0\x10\0\0\0" + (639).to_bytes(3, "little") + (479).to_bytes(3, "little")
+    lossless = riff + b"VP8L\0\0\0\0\x2f" + (639 | 479 << 14).to_bytes(4, "little") + bytes(10)
+    lossy = riff + b"VP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 640, 480)
+    assert [read_header(x) for x in (extended, lossless, lossy)] == [(640, 480, "WEBP", m) for m in ("RGBA", "RGB", "RGB")]
+    for broken in (b"II*\0", b"II*\0\xff\0\0\0", riff):
+        with pytest.raises((ValueError, struct.error)):
+            read_header(broken)
+
+
+def test_newest_metadata_comes_first(spark):
+    keys = spark.createDataFrame([(k,) for k in ("metadata/PMC7.2.json", "metadata/PMC7.10.json", "PMC7.2.json", "metadata/PMC7.json", "x/PMC8.1.json", "x/PMC8.1.json", None)], "key string")
+    got = [(r.pmcid, r.version) for r in articles.metadata_listing(keys).collect()]
+    assert got == [("PMC7", 10), ("PMC7", 2), ("PMC7", 2), ("PMC8", 1)]
+
+
+def test_archive_and_list_are_fetched_together(spark, tmp_path):
+    from figcurate.sources.fetch import bulk_pair
+
+    def opener(url, start):
+        import io
+
+        return 0, io.BytesIO(url.encode())
+
+    got = bulk_pair(spark, "http://h/a/b.tar.gz?x=1", "http://h/a/b.csv", str(tmp_path), opener)
+    assert {u: open(p).read() for u, p in got.items()} == {u: u for u in got} and set(got.values()) == {f"{tmp_path}/b.tar.gz", f"{tmp_path}/b.csv"}
+    with pytest.raises(ValueError):
+        bulk_pair(spark, "http://h/a/", "http://h/a/b.csv", str(tmp_path), opener)
