@@ -37,6 +37,13 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T",
     "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ρ": "p", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
     "ɑ": "a", "ɡ": "g", "ı": "i",
+    "Օ": "O", "Տ": "S", "օ": "o", "հ": "h", "ո": "n", "ց": "g", "յ": "j",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S",
+    "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N",
+    "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O",
+    "ꓴ": "U",
 }
 #: Kinds of compatibility decompositions that only change width, style or presentation (fixed values).
 FORM_KINDS = ("<wide>", "<narrow>", "<font>", "<small>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>")
@@ -219,7 +226,7 @@ def normalised(items: DataFrame) -> DataFrame:
     fixes = (
         changed_words(items)
         .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", "fixed"))).alias("fixes"))
+        .agg(F.map_from_entries(F.collect_set(F.struct("word", "fixed"))).alias("fixes"))  # a text that comes twice has its words once
     )
     suspect = F.coalesce(may_change(F.col("text")), F.lit(False))
     rest = items.where(~suspect).withColumn("changed", F.lit(False))

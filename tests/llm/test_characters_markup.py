@@ -102,6 +102,15 @@ def test_structure_is_kept(field):
     assert "marker | value" in M.clean("| marker | value |\n|---|---:|\n| A | 4 |\n\nScale bar.", field)
 
 
+def test_look_alikes_of_more_scripts_and_repeated_texts(spark):
+    texts = ["pꓳlyp", "Ꮋepatic", "cօlon", "Ⲥolon", "ᏣᎳᎩ", "ꓡꓲꓢꓴ", "Հայաստան", "TNFα", "α-actin"]
+    rows = spark.createDataFrame([(i, "t", 0, t) for i, t in enumerate(texts)] * 2, "record_id bigint, text_field string, item int, text string")
+    got = C.normalised(rows).collect()
+    assert len(got) == 2 * len(texts)
+    assert {r.record_id: r.text for r in got} == dict(enumerate(["pOlyp", "Hepatic", "colon", "Colon", *texts[4:]]))
+    assert sorted(r.record_id for r in C.disguised(rows).collect()) == [0, 1, 2, 3]
+
+
 CLEAN = {
     r"\frac{a}{b} is the ratio": r"$\frac{a}{b}$ is the ratio",
     r"E = \sum_{i=1}^n x_i": r"E = $\sum_{i=1}^n$ x_i",
