@@ -15,6 +15,7 @@ Null and empty texts have the empty list of ids.  Special tokens' strings in a t
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from figcurate.session import spread
 
-DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Where the vocabulary lies; a parameter of every operator, the setting of the process is its default.
+DEFAULT_VOCABULARY = os.environ.get("TOKENIZER_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: The pre-tokenizer pattern that belongs to the byte-level vocabularies (fixed value).
 DEFAULT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fragments remembered between batches; beyond it the memory is emptied, which costs time but changes nothing.
