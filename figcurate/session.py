@@ -6,7 +6,9 @@ session names in ``spark.checkpoint.dir``; a folder of our own is set only where
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="figcurate-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
