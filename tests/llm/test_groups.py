@@ -1,5 +1,7 @@
 import collections
+import os
 import re
+import threading
 
 import numpy as np
 import pytest
@@ -153,6 +155,65 @@ def test_no_join_of_the_search_is_broadcast(spark):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
 
 
+def folder_bytes(folders):
+    total = 0
+    for folder in folders:
+        for place, _, names in os.walk(folder):
+            for name in names:
+                try:
+                    total += os.path.getsize(os.path.join(place, name))
+                except OSError:  # removed meanwhile
+                    pass
+    return total
+
+
+def few_words_many_texts(count):
+    """Texts over so few words that most combinations need all their bits, some with a few words changed."""
+    r = np.random.default_rng(11)
+    words = np.array([f"w{k}" for k in range(400)])
+    drawn = r.integers(0, 400, (count, 60))
+    changed = drawn[: count // 10].copy()
+    for row in changed:
+        row[r.integers(0, 60, int(r.integers(0, 16)))] = r.integers(0, 400)
+    return [(i, " ".join(words[row])) for i, row in enumerate(np.concatenate([drawn, changed]))]
+
+
+def test_rounds_keep_the_disk_in_proportion(spark, monkeypatch):
+    """Peak of the shuffle files while many combinations are joined; they were written all at once before."""
+    monkeypatch.setattr(N, "ROUND_BYTES", 48, raising=False)
+    monkeypatch.setattr(N, "ROUND_LEAST", 0, raising=False)
+    rows = spark.createDataFrame(few_words_many_texts(3000), "id bigint, text string").cache()
+    rows.count()
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    peak, over, before = [0], threading.Event(), folder_bytes(folders)
+
+    def watch():
+        while not over.wait(0.02):
+            peak[0] = max(peak[0], folder_bytes(folders))
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        found = N.near_duplicate_pairs(*N.near_duplicate_classes(rows)).count()
+    finally:
+        over.set()
+        watcher.join()
+    assert found > 100
+    assert peak[0] - before < 22e6
+
+
+def test_rounds_find_the_same_pairs(spark, monkeypatch):
+    texts = few_words_many_texts(500)
+    want = similar(texts, 45)
+    asked = []
+    needed = N.rounds_needed
+    monkeypatch.setattr(N, "rounds_needed", lambda *a: asked.append(needed(*a)) or asked[-1])
+    for least in (N.ROUND_LEAST, 0):
+        monkeypatch.setattr(N, "ROUND_LEAST", least)
+        assert len(want) > 20 and found(spark, texts, 45) == want
+    assert asked[0] == 1 and asked[1] > 2
+
+
 def test_sketches_bound_the_difference():
     r = np.random.default_rng(0)
     words = [f"w{k}" for k in range(50)]
